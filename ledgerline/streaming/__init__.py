@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream table, watermark, trigger or state; its
+declarative pipeline runs once, triggered. Every operator of this library
+is a DataFrame -> DataFrame function, so a caller who needs micro-batches
+can apply them inside ``foreachBatch``; no streaming-specific operator is
+provided.
+"""

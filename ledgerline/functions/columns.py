@@ -70,6 +70,16 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName, scale: int | None = None,
     return F.round(r, scale) if scale is not None else r
 
 
+def decimal_ratio(num: ColumnOrName, den: ColumnOrName, scale: int = 2) -> Column:
+    """``round(num / NULLIF(den, 0), scale)`` in exact DECIMAL arithmetic.
+
+    For money over a count (mean cost per claim) the quotient is exact to
+    12+ places before the HALF_UP rounding, so ties like ``x.xx5`` round up
+    as they do on paper (a DOUBLE quotient may sit just below the tie).
+    """
+    return F.round(_col(num) / F.nullif(_col(den), F.lit(0)), scale)
+
+
 def to_money(c: ColumnOrName) -> Column:
     return _col(c).cast("decimal(18,2)")
 

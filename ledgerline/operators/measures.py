@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import safe_ratio
+from ledgerline.functions.columns import decimal_ratio, safe_ratio
 
 
 def rollup_grain(df: DataFrame, grain: Sequence[str | Column], measures: Mapping[str, Column]) -> DataFrame:
@@ -22,16 +22,20 @@ def rollup_grain(df: DataFrame, grain: Sequence[str | Column], measures: Mapping
 
 
 def ratio_measures(df: DataFrame, spec: Mapping[str, tuple]) -> DataFrame:
-    """``{name: (numerator, denominator, scale[, factor])}`` zero-safe ratios.
+    """``{name: (numerator, denominator, scale[, factor[, "decimal"]])}`` ratios.
 
-    Computed in DOUBLE with ``NULLIF(den, 0)``: an empty or zero
-    denominator yields NULL, never an ANSI division error.
+    Zero-safe (``NULLIF(den, 0)``): an empty or zero denominator yields
+    NULL, never an ANSI division error. Computed in DOUBLE, or in exact
+    DECIMAL when the fifth element is ``"decimal"`` (money over a count).
     """
     cols = {}
     for name, s in spec.items():
         num, den, scale = s[0], s[1], s[2]
         factor = s[3] if len(s) > 3 else None
-        cols[name] = safe_ratio(num, den, scale, factor)
+        if len(s) > 4 and s[4] == "decimal":
+            cols[name] = decimal_ratio(num, den, scale)
+        else:
+            cols[name] = safe_ratio(num, den, scale, factor)
     return df.withColumns(cols)
 
 

@@ -307,8 +307,8 @@ class ClaimsPipeline:
                                      "facility_name", "region_name")
         g = grain_df.join(d, on="provider_id", how="inner")
         g = ratio_measures(g, {
-            "mean_cost_claim": ("cost_total", "n_claims", 2),
-            "mean_cost_member": ("cost_total", "n_members", 2),
+            "mean_cost_claim": ("cost_total", "n_claims", 2, None, "decimal"),
+            "mean_cost_member": ("cost_total", "n_members", 2, None, "decimal"),
             "pct_disallowed": ("disallowed_total", "billed_total", 2, 100.0),
             "capacity_use_pct": ("n_claims", "capacity", 2, 100.0),
             "cost_index": ("cost_total", "ref_total", 4),

@@ -6,7 +6,8 @@ from ledgerline.operators.history import (event_timeline, forward_fill, history_
                                           scd2_overlaps)
 from ledgerline.operators.ingest import ingest_bronze
 from ledgerline.operators.integrity import (assert_conserved, conservation, fk_profile, quarantine,
-                                            quarantine_summary, row_counts, split_orphans)
+                                            quarantine_summary, row_counts, split_orphans,
+                                            split_tagged, tag_first_failing)
 from ledgerline.operators.measures import (assert_unique, key_uniqueness, peer_index, ratio_measures,
                                            rollup_grain, surrogate_key)
 from ledgerline.operators.quality import (Metric, Reconciliation, assert_gate, dq_panel, expect,

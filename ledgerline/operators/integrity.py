@@ -57,6 +57,25 @@ def split_orphans(child: DataFrame, parent: DataFrame, on: Sequence[str] | str,
     return ok, orphans
 
 
+def tag_first_failing(df: DataFrame, rules: Sequence[tuple[str, Column]],
+                      reason_col: str = "quarantine_reason") -> DataFrame:
+    """Add the first failing rule's name (NULL = valid) to every row."""
+    return df.withColumn(reason_col, first_failing(rules))
+
+
+def split_tagged(tagged: DataFrame, keep: Sequence[str], valid_cols: Sequence[str | Column] | None = None,
+                 reason_col: str = "quarantine_reason", at: Column | None = None,
+                 at_col: str = "quarantined_at") -> tuple[DataFrame, DataFrame]:
+    """Split a tagged frame into ``(valid, rejected)`` by its reason column."""
+    valid = tagged.filter(F.col(reason_col).isNull()).drop(reason_col)
+    if valid_cols is not None:
+        valid = valid.select(*valid_cols)
+    rej_cols = [F.col(c) for c in keep] + [F.col(reason_col)]
+    if at is not None:
+        rej_cols.append(at.alias(at_col))
+    return valid, tagged.filter(F.col(reason_col).isNotNull()).select(*rej_cols)
+
+
 def quarantine(df: DataFrame, rules: Sequence[tuple[str, Column]],
                keep: Sequence[str] | None = None, valid_cols: Sequence[str | Column] | None = None,
                reason_col: str = "quarantine_reason", at: Column | None = None,
@@ -70,16 +89,9 @@ def quarantine(df: DataFrame, rules: Sequence[tuple[str, Column]],
     both sides, so ``valid + rejected = input`` by construction; the star
     join feeding it is written once (left joins) instead of once per side.
     """
-    tagged = df.withColumn(reason_col, first_failing(rules))
-    valid = tagged.filter(F.col(reason_col).isNull()).drop(reason_col)
-    if valid_cols is not None:
-        valid = valid.select(*valid_cols)
-    rejected = tagged.filter(F.col(reason_col).isNotNull())
-    cols = list(keep) if keep is not None else [c for c in df.columns]
-    rej_cols = [F.col(c) for c in cols] + [F.col(reason_col)]
-    if at is not None:
-        rej_cols.append(at.alias(at_col))
-    return valid, rejected.select(*rej_cols)
+    tagged = tag_first_failing(df, rules, reason_col)
+    cols = list(keep) if keep is not None else list(df.columns)
+    return split_tagged(tagged, cols, valid_cols, reason_col, at, at_col)
 
 
 def quarantine_summary(rejected: DataFrame, reason_col: str = "quarantine_reason",

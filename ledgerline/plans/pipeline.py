@@ -10,7 +10,8 @@ to the shared checkpoint folder with :meth:`ClaimsPipeline.materialized`.
 
 from __future__ import annotations
 
-from functools import cached_property
+import hashlib
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,11 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import decode, month_start, passes, quarter_int
 from ledgerline.operators import (
     Metric, Reconciliation, asof_join, conform, dedup_latest, dq_panel, event_timeline,
-    ingest_bronze, key_uniqueness, peer_index, quarantine, ratio_measures, rollup_grain, scd2,
-    split_orphans, surrogate_key,
+    ingest_bronze, key_uniqueness, peer_index, ratio_measures, rollup_grain, scd2,
+    split_orphans, split_tagged, surrogate_key, tag_first_failing,
 )
 from ledgerline.plans import claims_model as cm
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources.tables import materialize, read_table
 
 CLAIM_KEY = ["claim_order", "claim_line"]
@@ -67,24 +69,73 @@ def _gt0(v: Column, hit: str) -> Column:
     return F.when(v > 0, F.lit(hit)).otherwise(F.lit("ok"))
 
 
+# Layers written as tables (like the reference's CREATE OR REPLACE TABLE per
+# module) and reused by downstream modules of the same application.
+LAYER_TABLES = frozenset({
+    "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
+    "latest_claims", "claims_checked", "intervals", "gold",
+})
+_LAYER_STORE: dict[tuple, str] = {}
+
+
+def _input_fingerprint(sf_dir: str) -> str:
+    """Paths, sizes and modification times of the input files (path only
+    when the folder is not on a local file system)."""
+    h = hashlib.sha1(sf_dir.encode())
+    try:
+        for root, _, files in sorted(os.walk(sf_dir)):
+            for f in sorted(files):
+                st = os.stat(os.path.join(root, f))
+                h.update(f"{root}/{f}:{st.st_size}:{st.st_mtime_ns}".encode())
+    except OSError:
+        pass
+    return h.hexdigest()[:16]
+
+
 class ClaimsPipeline:
-    """All layers of the claims build for one folder of driver tables."""
+    """All layers of the claims build for one folder of driver tables.
+
+    With ``reuse_layers`` (default) the layer tables in :data:`LAYER_TABLES`
+    are written once per application and input fingerprint to the shared
+    checkpoint folder and read back by every later consumer: each module
+    reads its upstream *tables*, as the reference's notebooks do, instead
+    of recomputing the whole chain. Written tables also give the planner
+    real sizes, so small dimensions are broadcast up front and large ones
+    take a sort-merge join. ``fresh`` names layers this instance must build
+    itself (from the stored upstream layers) rather than read.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = cm.AS_OF,
-                 deleted: str = "before_dedup"):
+                 deleted: str = "before_dedup", reuse_layers: bool = True, fresh: tuple[str, ...] = ()):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.deleted = deleted
+        self.reuse_layers = reuse_layers
+        self.fresh = frozenset(fresh)
         self._overrides: dict[str, DataFrame] = {}
 
     # ------------------------------------------------------------- sources
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def _layer_key(self, name: str) -> tuple:
+        return (self.spark.sparkContext.applicationId, _input_fingerprint(self.sf_dir), self.as_of,
+                self.deleted, name)
+
     def _get(self, name: str, build):
         if name not in self._overrides:
-            self._overrides[name] = build()
+            if self.reuse_layers and name in LAYER_TABLES and name not in self.fresh:
+                key = self._layer_key(name)
+                path = _LAYER_STORE.get(key)
+                if path is None:
+                    digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+                    path = os.path.join(checkpoint_dir(self.spark), "layers", digest, name)
+                    build().write.mode("overwrite").parquet(path)
+                    _LAYER_STORE[key] = path
+                self._overrides[name] = self.spark.read.parquet(path)
+            else:
+                self._overrides[name] = build()
         return self._overrides[name]
 
     def materialized(self, *names: str) -> "ClaimsPipeline":
@@ -239,11 +290,19 @@ class ClaimsPipeline:
                   "qty", "ref_amount", "billed", "disallowed", "paid", "auth_no", "post_termination"]
     REJECTED_COLS = ["claim_order", "claim_line", "provider_id", "month", "paid"]
 
+    @property
+    def claims_checked(self) -> DataFrame:
+        """Every deduplicated claim with its first failing rule (NULL = valid).
+
+        One evaluation of the star join decides both sides; written once, the
+        valid fact and the quarantine are two filters of it."""
+        return self._get("claims_checked", lambda: tag_first_failing(self._claims_star, self.claim_rules())
+                         .select(*self.VALID_COLS, "quarantine_reason"))
+
     @property
     def _split(self) -> tuple[DataFrame, DataFrame]:
-        return self._get("_split", lambda: quarantine(
-            self._claims_star, self.claim_rules(), keep=self.REJECTED_COLS, valid_cols=self.VALID_COLS,
-            at=F.lit(self.as_of).cast("date")))
+        return self._get("_split", lambda: split_tagged(
+            self.claims_checked, self.REJECTED_COLS, self.VALID_COLS, at=F.lit(self.as_of).cast("date")))
 
     @property
     def valid_claims(self) -> DataFrame:

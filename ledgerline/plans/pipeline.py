@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,8 @@ def _gt0(v: Column, hit: str) -> Column:
 # Layers written as tables (like the reference's CREATE OR REPLACE TABLE per
 # module) and reused by downstream modules of the same application.
 LAYER_TABLES = frozenset({
-    "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
+    "landing_facility", "landing_provider", "landing_audit", "landing_member", "landing_procedure",
+    "landing_claims", "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
     "latest_claims", "claims_checked", "intervals", "gold",
 })
 _LAYER_STORE: dict[tuple, str] = {}
@@ -106,14 +108,23 @@ class ClaimsPipeline:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = cm.AS_OF,
-                 deleted: str = "before_dedup", reuse_layers: bool = True, fresh: tuple[str, ...] = ()):
+                 deleted: str = "before_dedup", reuse_layers: bool = True, fresh: tuple[str, ...] = (),
+                 gold_base: str = "persist"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.deleted = deleted
         self.reuse_layers = reuse_layers
         self.fresh = frozenset(fresh)
+        self.gold_base = gold_base
         self._overrides: dict[str, DataFrame] = {}
+        self._persisted: list[DataFrame] = []
+
+    def release(self) -> None:
+        """Unpersist the intermediate frames this pipeline persisted."""
+        for df in self._persisted:
+            df.unpersist()
+        self._persisted.clear()
 
     # ------------------------------------------------------------- sources
     def table(self, name: str) -> DataFrame:
@@ -373,6 +384,14 @@ class ClaimsPipeline:
             "cost_index": ("cost_total", "ref_total", 4),
         })
         g = g.withColumn("specialty_name", decode("specialty", cm.SPECIALTY_NAMES, cm.UNKNOWN_LABEL))
+        # The peer mean is a grouped aggregate joined back to these rows. Keeping
+        # the per-grain rows (persisted, or written to the checkpoint folder)
+        # stops the claim aggregation from running once per side of that join.
+        if self.gold_base == "write":
+            g = materialize(g, f"gold_base_{period}")
+        elif self.gold_base == "persist":
+            g = g.persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(g)
         return peer_index(g, "cost_index", ["specialty", period], threshold=cm.PEER_THRESHOLD,
                           volume="n_claims", min_volume=cm.PEER_MIN_CLAIMS)
 

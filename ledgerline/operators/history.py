@@ -43,15 +43,63 @@ def _window(key: Sequence[str] | str, ts: str, tiebreak: Sequence[str]) -> Windo
     return Window.partitionBy(*keys).orderBy(F.col(ts).asc(), *[F.col(t).asc_nulls_last() for t in tiebreak])
 
 
+def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[str], cols: Sequence[str],
+                   split_by: Column, prev_col: str | None = None, next_col: str | None = None) -> DataFrame:
+    """Forward fill (and previous / next timestamp) for keys too hot for one task.
+
+    ``split_by`` must be a non-decreasing function of ``ts`` (e.g. its month).
+    Phase 1 scans each (key, bucket) on its own; phase 2 reduces every bucket
+    to one summary row (last non-null value of each column, first and last
+    timestamp) with a partially aggregated group-by; phase 3 carries the
+    summaries across buckets with a window over the *summaries* (one row per
+    bucket) and joins the carry back. Results equal the single-window scan,
+    but a key with a third of all rows is spread over its buckets.
+    """
+    order_cols = [F.col(ts).asc()] + [F.col(t).asc_nulls_last() for t in tiebreak]
+    x = df.withColumn("__bucket", split_by)
+    wb = Window.partitionBy(*keys, "__bucket").orderBy(*order_cols)
+    local = {c: F.last(F.col(c), ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+             for c in cols}
+    if prev_col:
+        local["__prev_local"] = F.lag(F.col(ts)).over(wb)
+    if next_col:
+        local["__next_local"] = F.lead(F.col(ts)).over(wb)
+    scanned = x.withColumns(local)
+    ordkey = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
+    summary = x.groupBy(*keys, "__bucket").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"__last_{c}") for c in cols],
+        F.max(F.col(ts)).alias("__max_ts"), F.min(F.col(ts)).alias("__min_ts"))
+    ws = Window.partitionBy(*keys).orderBy("__bucket")
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        *keys, "__bucket",
+        *[F.last(F.col(f"__last_{c}"), ignorenulls=True).over(before).alias(f"__carry_{c}") for c in cols],
+        F.lag("__max_ts").over(ws).alias("__prev_bucket_ts"), F.lead("__min_ts").over(ws).alias("__next_bucket_ts"))
+    out = scanned.join(carry, on=[*keys, "__bucket"], how="inner")
+    fixes = {c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols}
+    if prev_col:
+        fixes[prev_col] = F.coalesce(F.col("__prev_local"), F.col("__prev_bucket_ts"))
+    if next_col:
+        fixes[next_col] = F.coalesce(F.col("__next_local"), F.col("__next_bucket_ts"))
+    drop = ["__bucket", "__prev_bucket_ts", "__next_bucket_ts", "__prev_local", "__next_local",
+            *[f"__carry_{c}" for c in cols]]
+    return out.withColumns(fixes).drop(*drop)
+
+
 def forward_fill(df: DataFrame, key: Sequence[str] | str, ts: str, cols: Sequence[str],
-                 tiebreak: Sequence[str] = ()) -> DataFrame:
+                 tiebreak: Sequence[str] = (), split_by: Column | None = None) -> DataFrame:
     """Replace NULLs by the last non-NULL value *up to the current row*.
 
     ``last(c, ignorenulls) OVER (PARTITION BY key ORDER BY ts ASC ROWS
     BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)``: ascending order, so no
     value from the future leaks backwards. All columns share one window
-    spec, hence one shuffle and one sort.
+    spec, hence one shuffle and one sort. With ``split_by`` (a time bucket)
+    the scan runs per (key, bucket) plus a carry between buckets, so one hot
+    key is not a single task.
     """
+    if split_by is not None:
+        keys = [key] if isinstance(key, str) else list(key)
+        return _bucketed_scan(df, keys, ts, tiebreak, cols, split_by).select(*df.columns)
     w = _window(key, ts, tiebreak).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
@@ -61,7 +109,7 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
          effective: Mapping[str, Sequence[str]] | None = None,
          attribute_timing: str = "closes", open_end: dt.date | str | None = "9999-12-31",
          start_col: str = "valid_from", end_col: str = "valid_to",
-         passthrough: Sequence[str] = ()) -> DataFrame:
+         passthrough: Sequence[str] = (), split_by: Column | None = None) -> DataFrame:
     """Half-open validity intervals ``[start, end)`` from an event timeline.
 
     ``attribute_timing="closes"`` (reference semantics): each event *ends* an
@@ -79,7 +127,8 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
 
     lag/lead and the fills share one window spec: one exchange by key and
     one sort. Output: key, filled columns, effective columns, passthrough,
-    ``ts``, start, end.
+    ``ts``, start, end. ``split_by`` (a non-decreasing time bucket of ``ts``)
+    switches to the two-phase bucketed scan for keys too hot for one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     w = _window(keys, ts, tiebreak)
@@ -97,10 +146,24 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
         bounds = {start_col: F.col(ts), end_col: F.coalesce(*end_parts)}
     else:
         raise ValueError("attribute_timing must be 'closes' or 'opens'")
-    filled = {c: F.last(F.col(c), ignorenulls=True).over(frame) for c in fill_cols}
-    # One withColumns: every expression reads the *input* row, so start uses the
-    # unfilled start_default even when that column is also forward-filled.
-    out = events.withColumns({**bounds, **filled})
+    if split_by is not None:
+        # keep the unfilled start_default aside: the bucketed scan fills in place
+        src = events.withColumn("__start_default", F.col(start_default)) if start_default else events
+        scanned = _bucketed_scan(src, keys, ts, tiebreak, fill_cols, split_by,
+                                 prev_col="__prev_ts" if attribute_timing == "closes" else None,
+                                 next_col="__next_ts" if attribute_timing == "opens" else None)
+        if attribute_timing == "closes":
+            parts = [F.col("__prev_ts")] + ([F.col("__start_default")] if start_default else []) + [F.col(ts)]
+            bnd = {end_col: F.col(ts), start_col: F.coalesce(*parts)}
+        else:
+            nparts = [F.col("__next_ts")] + ([_lit_date(open_end)] if open_end is not None else [])
+            bnd = {start_col: F.col(ts), end_col: F.coalesce(*nparts)}
+        out = scanned.withColumns(bnd)
+    else:
+        filled = {c: F.last(F.col(c), ignorenulls=True).over(frame) for c in fill_cols}
+        # One withColumns: every expression reads the *input* row, so start uses the
+        # unfilled start_default even when that column is also forward-filled.
+        out = events.withColumns({**bounds, **filled})
     eff_cols: list[str] = []
     for guard, cols in (effective or {}).items():
         cond = F.col(guard) < F.col(end_col)

@@ -244,3 +244,24 @@ def test_hash_bucket_repeatable_and_salted(spark):
     c = {r.k for r in stable_sample(df, ["k"], "s2", 10).collect()}
     assert a == b and 100 < len(a) < 300 and a != c
     assert hash_bucket(df, ["k"], "s1", 10).agg(F.max("bucket")).first()[0] <= 9
+
+
+def test_bucketed_forward_fill_equals_single_window(spark):
+    rows = [(1, t, None if t % 3 else f"v{t}") for t in range(1, 40)] + [(2, 5, None), (2, 9, "x"), (2, 30, None)]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    a = forward_fill(df, "k", "t", ["v"])
+    b = forward_fill(df, "k", "t", ["v"], split_by=F.floor(F.col("t") / 7))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_bucketed_scd2_equals_single_window(spark):
+    ev = spark.createDataFrame([
+        (1, D(2020, 1, 1), 3, D(2019, 6, 1), 1), (1, D(2020, 3, 1), None, None, 2),
+        (1, D(2021, 1, 1), 5, None, 3), (1, D(2021, 1, 1), None, None, 4), (1, D(2026, 1, 1), 7, None, 5),
+        (2, D(2020, 5, 5), None, D(2020, 1, 1), 1), (2, D(2022, 5, 5), 2, None, 2),
+    ], "k int, ts date, esp int, start_default date, seq int")
+    for timing in ("closes", "opens"):
+        a = scd2(ev, "k", "ts", ["esp"], start_default="start_default", tiebreak=["seq"], attribute_timing=timing)
+        b = scd2(ev, "k", "ts", ["esp"], start_default="start_default", tiebreak=["seq"], attribute_timing=timing,
+                 split_by=F.year("ts"))
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())), timing

@@ -24,7 +24,7 @@ from ledgerline.operators import (
     split_orphans, split_tagged, surrogate_key, tag_first_failing,
 )
 from ledgerline.plans import claims_model as cm
-from ledgerline.session import checkpoint_dir
+from ledgerline.session import application_id, checkpoint_dir
 from ledgerline.sources.tables import materialize, read_table
 
 CLAIM_KEY = ["claim_order", "claim_line"]
@@ -131,7 +131,7 @@ class ClaimsPipeline:
         return read_table(self.spark, self.sf_dir, name)
 
     def _layer_key(self, name: str) -> tuple:
-        return (self.spark.sparkContext.applicationId, _input_fingerprint(self.sf_dir), self.as_of,
+        return (application_id(self.spark), _input_fingerprint(self.sf_dir), self.as_of,
                 self.deleted, name)
 
     def _get(self, name: str, build):

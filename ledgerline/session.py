@@ -47,13 +47,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) do we create a scratch folder.
+    Only when nothing is configured (local tests) is a scratch folder made.
+    The value is never changed on a session that already has one.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    current = None
+    try:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - Connect sessions may not expose core confs
+        current = None
+    sc = getattr(spark, "sparkContext", None)
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
+
+
+def application_id(spark: SparkSession) -> str:
+    """Identifier of the running application (stable for the session's life)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", "app")

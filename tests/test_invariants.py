@@ -84,3 +84,12 @@ def test_dedup_invariant_to_input_partitioning(spark):
     a = dedup_latest(base, CLAIM_KEY, "load_date", CLAIM_TIEBREAK)
     b = dedup_latest(base.repartition(7, "paid"), CLAIM_KEY, "load_date", CLAIM_TIEBREAK)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_layer_reuse_equals_full_recompute(spark):
+    from ledgerline.plans.pipeline import GOLD_COLS
+    small = "/root/testdata/sf0.001"
+    a = ClaimsPipeline(spark, small, fresh=("gold",)).gold.select(*GOLD_COLS)
+    b = ClaimsPipeline(spark, small, reuse_layers=False, gold_base="recompute").gold.select(*GOLD_COLS)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -2,33 +2,87 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.history import forward_fill
+
 
 def asof_join(fact: DataFrame, intervals: DataFrame, key: Sequence[str] | str, at: str,
               cols: Sequence[str], start: str = "valid_from", end: str = "valid_to",
               how: str = "inner", grain: Sequence[str] | None = None,
-              keep_bounds: bool = False) -> DataFrame:
+              keep_bounds: bool = False, method: str = "scan",
+              split_by: str | Callable[[Column], Column] | None = None) -> DataFrame:
     """Attach the interval attributes valid at ``fact[at]``: ``start <= at < end``.
 
     The end is exclusive, so a fact dated exactly on a boundary matches the
-    later interval only. Spark plans the equality part as the join key (a
-    broadcast hash join when the interval table is small, else a sort-merge
-    join with AQE skew splitting) and the range part as a residual
-    predicate. A ``row_number`` guard over the fact grain, latest start
-    first, keeps exactly one match even if intervals overlapped; it is
-    clustered on a superset of the join key, so it reuses the join's
-    partitioning when the join shuffled.
-
-    ``how="left"`` keeps facts without a valid interval (attributes NULL);
-    ``"inner"`` drops them, as the reference does (count them with W23).
+    later interval only. ``how="left"`` keeps facts without a valid interval
+    (attributes NULL); ``"inner"`` drops them, as the reference does (count
+    them with W23). Among several intervals holding ``at`` the one with the
+    latest start (then latest end) wins, so each fact gets at most one match.
+
+    ``method="scan"`` (default) is linear in the input: facts and intervals
+    are unioned into one timeline per key, intervals sorted before facts of
+    the same instant, and the latest interval (one struct, so NULL
+    attributes are not filled from an older interval) is carried forward to
+    each fact with ``last(..., ignorenulls)``; the fact then checks
+    ``at < end``. One exchange on the key, one sort, no pairs are formed.
+    It is exact when the intervals of a key do not overlap, which SCD2
+    intervals guarantee (checked by W14). ``split_by`` (a ``date_trunc``
+    unit such as ``"day"``, or a function of the time column returning a
+    non-decreasing bucket) spreads a key holding a large share of the rows
+    over its time buckets with the two-phase scan of W13.
+
+    ``method="range"`` is the literal reference form for overlapping
+    intervals: equality on the key plus a residual range predicate, then a
+    ``row_number`` guard over ``grain`` (default key + ``at``). Its cost is
+    facts x intervals per key, so use it only where histories are short.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if method == "range":
+        return _range_asof(fact, intervals, keys, at, cols, start, end, how, grain, keep_bounds)
+    if method != "scan":
+        raise ValueError("method must be 'scan' or 'range'")
+
+    kcols = [f"__k{i}" for i in range(len(keys))]
+    # An interval without key, start or end, or with end <= start, can never
+    # hold a fact: leave it out so it cannot shadow an earlier interval.
+    valid = F.lit(True)
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    valid = valid & F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) > F.col(start))
+    iv = intervals.filter(valid).select(
+        *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+        F.col(start).alias("__t"), F.lit(0).alias("__kind"),
+        F.col(start).alias("__o_from"), F.col(end).alias("__o_to"),
+        F.struct(F.col(start).alias("__from"), F.col(end).alias("__to"), *[F.col(c) for c in cols]).alias("__iv"))
+    fx = fact.select("*", *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+                     F.col(at).alias("__t"), F.lit(1).alias("__kind"))
+    timeline = fx.unionByName(iv, allowMissingColumns=True)
+    bucket = None
+    if split_by is not None:
+        bucket = F.date_trunc(split_by, F.col("__t")) if isinstance(split_by, str) else split_by(F.col("__t"))
+    filled = forward_fill(timeline, kcols, "__t", ["__iv"], tiebreak=["__kind", "__o_from", "__o_to"],
+                          split_by=bucket)
+    hit = F.col("__iv").isNotNull() & (F.col("__t") < F.col("__iv.__to"))
+    out = filled.filter(F.col("__kind") == 1)
+    if how == "inner":
+        out = out.filter(hit)
+        pick = {c: F.col(f"__iv.{c}") for c in cols}
+        bounds = [F.col("__iv.__from").alias(start), F.col("__iv.__to").alias(end)]
+    else:
+        pick = {c: F.when(hit, F.col(f"__iv.{c}")) for c in cols}
+        bounds = [F.when(hit, F.col("__iv.__from")).alias(start), F.when(hit, F.col("__iv.__to")).alias(end)]
+    return out.select(*[F.col(c) for c in fact.columns], *(bounds if keep_bounds else []),
+                      *[v.alias(c) for c, v in pick.items()])
+
+
+def _range_asof(fact: DataFrame, intervals: DataFrame, keys: list[str], at: str, cols: Sequence[str],
+                start: str, end: str, how: str, grain: Sequence[str] | None, keep_bounds: bool) -> DataFrame:
     right = intervals.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                              F.col(start).alias("__from"), F.col(end).alias("__to"), *cols)
     cond = None

@@ -47,43 +47,45 @@ def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[s
                    split_by: Column, prev_col: str | None = None, next_col: str | None = None) -> DataFrame:
     """Forward fill (and previous / next timestamp) for keys too hot for one task.
 
-    ``split_by`` must be a non-decreasing function of ``ts`` (e.g. its month).
-    Phase 1 scans each (key, bucket) on its own; phase 2 reduces every bucket
-    to one summary row (last non-null value of each column, first and last
-    timestamp) with a partially aggregated group-by; phase 3 carries the
-    summaries across buckets with a window over the *summaries* (one row per
-    bucket) and joins the carry back. Results equal the single-window scan,
-    but a key with a third of all rows is spread over its buckets.
+    ``split_by`` must be a non-decreasing function of ``ts`` (e.g. its day).
+    Phase 1 reduces every (key, bucket) to one summary row (last non-null
+    value of each column, first and last timestamp) with a partially
+    aggregated group-by: map tasks combine before the shuffle. Phase 2
+    carries the summaries across the buckets of a key with a window over
+    the *summaries* (one row per bucket). Phase 3 unions, per (key, bucket),
+    a head row holding the carried values and the previous bucket's last
+    timestamp (and a tail row holding the next bucket's first timestamp)
+    into the rows, scans each (key, bucket) on its own and drops the
+    synthetic rows. Results equal the single-window scan, with one shuffle
+    of the rows and no join, while a key with a third of all rows is spread
+    over its buckets. NULL keys and buckets group like window partitions.
     """
-    order_cols = [F.col(ts).asc()] + [F.col(t).asc_nulls_last() for t in tiebreak]
-    x = df.withColumn("__bucket", split_by)
-    wb = Window.partitionBy(*keys, "__bucket").orderBy(*order_cols)
-    local = {c: F.last(F.col(c), ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-             for c in cols}
-    if prev_col:
-        local["__prev_local"] = F.lag(F.col(ts)).over(wb)
-    if next_col:
-        local["__next_local"] = F.lead(F.col(ts)).over(wb)
-    scanned = x.withColumns(local)
+    x = df.withColumn("__bucket", split_by).withColumn("__flag", F.lit(1))
     ordkey = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
     summary = x.groupBy(*keys, "__bucket").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"__last_{c}") for c in cols],
         F.max(F.col(ts)).alias("__max_ts"), F.min(F.col(ts)).alias("__min_ts"))
     ws = Window.partitionBy(*keys).orderBy("__bucket")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys, "__bucket",
-        *[F.last(F.col(f"__last_{c}"), ignorenulls=True).over(before).alias(f"__carry_{c}") for c in cols],
-        F.lag("__max_ts").over(ws).alias("__prev_bucket_ts"), F.lead("__min_ts").over(ws).alias("__next_bucket_ts"))
-    out = scanned.join(carry, on=[*keys, "__bucket"], how="inner")
-    fixes = {c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols}
+    heads = summary.select(
+        *keys, "__bucket", F.lit(0).alias("__flag"),
+        *[F.last(F.col(f"__last_{c}"), ignorenulls=True).over(before).alias(c) for c in cols],
+        F.lag("__max_ts").over(ws).alias(ts))
+    synthetic = heads
+    if next_col:
+        tails = summary.select(*keys, "__bucket", F.lit(2).alias("__flag"),
+                               F.lead("__min_ts").over(ws).alias(ts))
+        synthetic = heads.unionByName(tails, allowMissingColumns=True)
+    u = x.unionByName(synthetic, allowMissingColumns=True)
+    wb = Window.partitionBy(*keys, "__bucket").orderBy(
+        F.col("__flag"), F.col(ts).asc(), *[F.col(t).asc_nulls_last() for t in tiebreak])
+    scan = {c: F.last(F.col(c), ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            for c in cols}
     if prev_col:
-        fixes[prev_col] = F.coalesce(F.col("__prev_local"), F.col("__prev_bucket_ts"))
+        scan[prev_col] = F.lag(F.col(ts)).over(wb)
     if next_col:
-        fixes[next_col] = F.coalesce(F.col("__next_local"), F.col("__next_bucket_ts"))
-    drop = ["__bucket", "__prev_bucket_ts", "__next_bucket_ts", "__prev_local", "__next_local",
-            *[f"__carry_{c}" for c in cols]]
-    return out.withColumns(fixes).drop(*drop)
+        scan[next_col] = F.lead(F.col(ts)).over(wb)
+    return u.withColumns(scan).filter(F.col("__flag") == 1).drop("__bucket", "__flag")
 
 
 def forward_fill(df: DataFrame, key: Sequence[str] | str, ts: str, cols: Sequence[str],

@@ -265,3 +265,56 @@ def test_bucketed_scd2_equals_single_window(spark):
         b = scd2(ev, "k", "ts", ["esp"], start_default="start_default", tiebreak=["seq"], attribute_timing=timing,
                  split_by=F.year("ts"))
         assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())), timing
+
+
+def _asof_case(spark):
+    import random
+    rnd = random.Random(7)
+    ivs, facts = [], []
+    for k in (1, 2, 3):
+        t = D(2020, 1, 1)
+        for i in range(12):                       # disjoint intervals, with gaps and NULL attributes
+            length = rnd.randint(1, 40)
+            end = t + dt.timedelta(days=length)
+            attr = None if rnd.random() < 0.25 else f"k{k}-{i}"
+            ivs.append((k, t, end, attr))
+            t = end + dt.timedelta(days=rnd.choice([0, 0, 3]))
+    ivs.append((4, D(2020, 1, 1), None, "open"))    # no end: never holds a fact
+    for n in range(300):
+        facts.append((n, rnd.choice([1, 2, 3, 4, None]), D(2019, 12, 1) + dt.timedelta(days=rnd.randint(0, 400))))
+    facts.append((999, 1, None))
+    iv = spark.createDataFrame(ivs, "k int, valid_from date, valid_to date, attr string")
+    fact = spark.createDataFrame(facts, "id int, k int, at date")
+    return fact, iv
+
+
+def test_asof_scan_equals_range_join_and_brute_force(spark):
+    fact, iv = _asof_case(spark)
+    ivs = iv.collect()
+    for how in ("inner", "left"):
+        expected = []
+        for f in fact.collect():
+            hits = [i for i in ivs if f.k is not None and i.k == f.k and f.at is not None
+                    and i.valid_to is not None and i.valid_from <= f.at < i.valid_to]
+            if hits:
+                expected.append((f.id, max(hits, key=lambda i: (i.valid_from, i.valid_to)).attr))
+            elif how == "left":
+                expected.append((f.id, None))
+        for kw in ({}, {"split_by": "month"}, {"method": "range", "grain": ["id"]}):
+            got = asof_join(fact, iv, "k", "at", ["attr"], how=how, **kw).select("id", "attr")
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr), (how, kw)
+
+
+def test_asof_scan_forms_no_pairs(spark):
+    fact, iv = _asof_case(spark)
+    plan = asof_join(fact, iv, "k", "at", ["attr"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+
+
+def test_bucketed_forward_fill_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, None), (1, 1, None), (1, None, "z")],
+                               "k int, t int, v string")
+    a = forward_fill(df, "k", "t", ["v"])
+    b = forward_fill(df, "k", "t", ["v"], split_by=F.col("t"))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert b.count() == 4

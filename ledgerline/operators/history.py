@@ -44,7 +44,8 @@ def _window(key: Sequence[str] | str, ts: str, tiebreak: Sequence[str]) -> Windo
 
 
 def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[str], cols: Sequence[str],
-                   split_by: Column, prev_col: str | None = None, next_col: str | None = None) -> DataFrame:
+                   split_by: Column, prev_col: str | None = None, next_col: str | None = None,
+                   lags: Mapping[str, str] | None = None) -> DataFrame:
     """Forward fill (and previous / next timestamp) for keys too hot for one task.
 
     ``split_by`` must be a non-decreasing function of ``ts`` (e.g. its day).
@@ -56,20 +57,31 @@ def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[s
     a head row holding the carried values and the previous bucket's last
     timestamp (and a tail row holding the next bucket's first timestamp)
     into the rows, scans each (key, bucket) on its own and drops the
-    synthetic rows. Results equal the single-window scan, with one shuffle
+    synthetic rows. ``lags`` maps output names to columns whose previous-row
+    value is wanted (the head row holds the previous bucket's last value).
+    Results equal the single-window scan, with one shuffle
     of the rows and no join, while a key with a third of all rows is spread
     over its buckets. NULL keys and buckets group like window partitions.
     """
+    lags = dict(lags or {})
+    if prev_col:
+        lags[prev_col] = ts
+    lag_src = [c for c in dict.fromkeys(lags.values()) if c != ts]
+    if set(lag_src) & set(cols):
+        raise ValueError("a column cannot be both filled and lagged in one bucketed scan")
     x = df.withColumn("__bucket", split_by).withColumn("__flag", F.lit(1))
-    ordkey = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
+    # same order as the window below: ts ascending (NULL first), tiebreaks NULL last
+    ordkey = F.struct(F.col(ts), *[p for t in tiebreak for p in (F.col(t).isNull(), F.col(t))])
     summary = x.groupBy(*keys, "__bucket").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"__last_{c}") for c in cols],
+        *[F.max_by(F.col(c), ordkey).alias(f"__lastrow_{c}") for c in lag_src],
         F.max(F.col(ts)).alias("__max_ts"), F.min(F.col(ts)).alias("__min_ts"))
     ws = Window.partitionBy(*keys).orderBy("__bucket")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     heads = summary.select(
         *keys, "__bucket", F.lit(0).alias("__flag"),
         *[F.last(F.col(f"__last_{c}"), ignorenulls=True).over(before).alias(c) for c in cols],
+        *[F.lag(f"__lastrow_{c}").over(ws).alias(c) for c in lag_src],
         F.lag("__max_ts").over(ws).alias(ts))
     synthetic = heads
     if next_col:
@@ -81,8 +93,8 @@ def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[s
         F.col("__flag"), F.col(ts).asc(), *[F.col(t).asc_nulls_last() for t in tiebreak])
     scan = {c: F.last(F.col(c), ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
             for c in cols}
-    if prev_col:
-        scan[prev_col] = F.lag(F.col(ts)).over(wb)
+    for out_col, src in lags.items():
+        scan[out_col] = F.lag(F.col(src)).over(wb)
     if next_col:
         scan[next_col] = F.lead(F.col(ts)).over(wb)
     return u.withColumns(scan).filter(F.col("__flag") == 1).drop("__bucket", "__flag")
@@ -177,10 +189,20 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
 
 
 def scd2_overlaps(intervals: DataFrame, key: Sequence[str] | str, start: str = "valid_from",
-                  end: str = "valid_to") -> DataFrame:
-    """Intervals that start before the previous one ended (must be empty)."""
+                  end: str = "valid_to", split_by: Column | None = None) -> DataFrame:
+    """Intervals that start before the previous one ended (must be empty).
+
+    ``LAG(end) OVER (PARTITION BY key ORDER BY start, end)``. With
+    ``split_by`` (a non-decreasing bucket of ``start``) the lag runs per
+    (key, bucket) with the previous bucket's last end carried in, so a key
+    with a very long history is not one task.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(start).asc(), F.col(end).asc())
+    if split_by is not None:
+        s = _bucketed_scan(intervals.select(*keys, start, end), keys, start, [end], [], split_by,
+                           lags={"previous_end": end})
+        return s.select(*keys, start, end, "previous_end").filter(F.col("previous_end") > F.col(start))
+    w = Window.partitionBy(*keys).orderBy(F.col(start).asc(), F.col(end).asc_nulls_last())
     return (intervals.select(*keys, start, end, F.lag(F.col(end)).over(w).alias("previous_end"))
             .filter(F.col("previous_end") > F.col(start)))
 

@@ -341,9 +341,11 @@ class ClaimsPipeline:
     @property
     def intervals(self) -> DataFrame:
         """SCD2 intervals, "closes" timing, forward-filled attributes."""
+        # bucketed by month: a provider with a very long audit trail is spread over its months
         return self._get("intervals", lambda: scd2(
             self.event_timeline, "provider_id", "audit_date", FILL_COLS, start_default="credential_date",
-            tiebreak=["event_seq"], effective={"termination_date": ["termination_date", "termination_reason"]}))
+            tiebreak=["event_seq"], effective={"termination_date": ["termination_date", "termination_reason"]},
+            split_by=F.trunc("audit_date", "month")))
 
     # --------------------------------------------------------------- gold
     def grain_measures(self) -> dict[str, Column]:

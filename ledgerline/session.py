@@ -59,6 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: layer tables and "
+                               "checkpoints must survive the loss of an executor")
         current = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

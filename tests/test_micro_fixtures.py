@@ -318,3 +318,23 @@ def test_bucketed_forward_fill_keeps_null_keys(spark):
     b = forward_fill(df, "k", "t", ["v"], split_by=F.col("t"))
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     assert b.count() == 4
+
+
+def test_bucketed_overlap_check_equals_single_window(spark):
+    rows = [(1, D(2020, 1, 1), D(2020, 3, 1)), (1, D(2020, 2, 1), D(2020, 5, 1)), (1, D(2020, 5, 1), D(2020, 9, 9)),
+            (1, D(2020, 9, 1), D(2021, 2, 1)), (1, D(2021, 1, 1), D(2021, 1, 5)), (2, D(2020, 1, 1), D(2020, 2, 1)),
+            (2, D(2020, 2, 1), D(2020, 3, 1)), (None, D(2020, 1, 1), D(2020, 6, 1)), (None, D(2020, 2, 1), D(2020, 3, 1))]
+    iv = spark.createDataFrame(rows, "k int, valid_from date, valid_to date")
+    a = scd2_overlaps(iv, "k")
+    b = scd2_overlaps(iv, "k", split_by=F.trunc("valid_from", "month"))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert a.count() == 4
+
+
+def test_bucketed_scan_tiebreak_nulls_last(spark):
+    # same timestamp, NULL tiebreak must come last in the summary as in the window
+    rows = [(1, 1, None, "late"), (1, 1, 5, "early"), (1, 2, 1, None)]
+    df = spark.createDataFrame(rows, "k int, t int, tb int, v string")
+    a = forward_fill(df, "k", "t", ["v"], tiebreak=["tb"])
+    b = forward_fill(df, "k", "t", ["v"], tiebreak=["tb"], split_by=F.col("t"))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

@@ -11,8 +11,8 @@ from ledgerline.operators.integrity import (assert_conserved, conservation, fk_p
 from ledgerline.operators.measures import (assert_unique, key_uniqueness, peer_index, ratio_measures,
                                            rollup_grain, surrogate_key)
 from ledgerline.operators.quality import (Metric, Reconciliation, assert_gate, dq_panel, expect,
-                                          null_profile, ordered_panel, parity, profile, quality_gate,
-                                          reconcile)
+                                          null_profile, observed_expectations, ordered_panel, parity,
+                                          profile, quality_gate, reconcile)
 from ledgerline.operators.sampling import hash_bucket, mod_sample, stable_sample
 from ledgerline.operators.variance import (decompose_price_volume, drill_down, excess_by_entity,
                                            excess_by_segment, flagged_entities, index_variation,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import passes
@@ -167,13 +167,20 @@ def reconcile(left: DataFrame, right: DataFrame, left_measure: str, right_measur
 
 
 # ---------------------------------------------------------------------- W24
-def expect(df: DataFrame, expectations: Mapping[str, tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
+def expect(df: DataFrame, expectations: Mapping[str, tuple[Column, str]],
+           observe: bool = False) -> tuple[DataFrame, DataFrame | Observation]:
     """Named predicates with action ``drop`` or ``warn``.
 
     Returns ``(kept, metrics)``: ``kept`` drops rows failing any ``drop``
     expectation (a NULL predicate is a failure); ``metrics`` has one row per
     expectation ``(expectation, action, n_passed, n_failed)`` from a single
     aggregate pass over the input.
+
+    With ``observe=True`` the counters ride along the pass that consumes
+    ``kept`` (``DataFrame.observe``, evaluated by the tasks of that job, as
+    a declarative pipeline counts while it writes): ``metrics`` is then an
+    ``Observation``; after the first action on ``kept`` read it with
+    :func:`observed_expectations`. No second scan of the input.
     """
     for name, (_, action) in expectations.items():
         if action not in ("drop", "warn"):
@@ -181,6 +188,13 @@ def expect(df: DataFrame, expectations: Mapping[str, tuple[Column, str]]) -> tup
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, (name, (pred, _)) in enumerate(expectations.items()):
         aggs.append(F.count_if(passes(pred)).alias(f"__p{i}"))
+    if observe:
+        obs = Observation("expectations")
+        kept = df.observe(obs, *aggs)
+        for name, (pred, action) in expectations.items():
+            if action == "drop":
+                kept = kept.filter(passes(pred))
+        return kept, obs
     one = df.agg(*aggs)
     metrics = one.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("expectation"), F.lit(action).alias("action"),
@@ -193,6 +207,15 @@ def expect(df: DataFrame, expectations: Mapping[str, tuple[Column, str]]) -> tup
     return kept, metrics
 
 
+def observed_expectations(obs: Observation, expectations: Mapping[str, tuple[Column, str]]) -> list[dict]:
+    """The counters of :func:`expect` (``observe=True``) as one dict per
+    expectation; available once an action on the kept rows has run."""
+    got = obs.get
+    return [{"expectation": name, "action": action, "n_passed": got[f"__p{i}"],
+             "n_failed": got["__n"] - got[f"__p{i}"]}
+            for i, (name, (_, action)) in enumerate(expectations.items())]
+
+
 # ---------------------------------------------------------------------- W25
 def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], dataset: str = "dataset") -> DataFrame:
     """Compare two builds of one dataset on its keys.

@@ -338,3 +338,13 @@ def test_bucketed_scan_tiebreak_nulls_last(spark):
     a = forward_fill(df, "k", "t", ["v"], tiebreak=["tb"])
     b = forward_fill(df, "k", "t", ["v"], tiebreak=["tb"], split_by=F.col("t"))
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def test_expectations_observed_in_the_consuming_pass(spark):
+    from ledgerline.operators import observed_expectations
+    df = spark.createDataFrame([(1, 5), (2, None), (3, -1)], "id int, v int").repartition(3)
+    spec = {"non_negative": (F.col("v") >= 0, "drop"), "has_v": (F.col("v").isNotNull(), "warn")}
+    kept, obs = expect(df, spec, observe=True)
+    assert [r.id for r in kept.collect()] == [1]
+    got = {m["expectation"]: (m["action"], m["n_passed"], m["n_failed"]) for m in observed_expectations(obs, spec)}
+    assert got == {"non_negative": ("drop", 1, 2), "has_v": ("warn", 2, 1)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +61,8 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
 
 def peer_index(df: DataFrame, measure: str, peers: Sequence[str], threshold: float = 1.5,
                volume: str | None = None, min_volume: int = 10, index_col: str = "peer_index",
-               flag_col: str = "anomaly_flag", scale: int = 4, mean_col: str | None = None) -> DataFrame:
+               flag_col: str = "anomaly_flag", scale: int = 4, mean_col: str | None = None,
+               broadcast_max_groups: int | None = 200_000) -> DataFrame:
     """Measure divided by the mean of its peer group (self included).
 
     ``index = round(measure / NULLIF(avg(measure) over peers, 0), scale)``;
@@ -69,14 +71,23 @@ def peer_index(df: DataFrame, measure: str, peers: Sequence[str], threshold: flo
 
     The peer mean comes from a partially aggregated ``groupBy(peers)`` that
     is joined back (null-safe, so a NULL peer value forms its own group like
-    a window partition would). The aggregated side has one row per peer
-    group, so the planner broadcasts it when small, and a huge peer group is
-    never funnelled into one task the way ``AVG() OVER (PARTITION BY ...)``
-    would.
+    a window partition would); a huge peer group is never funnelled into one
+    task the way ``AVG() OVER (PARTITION BY ...)`` would.
+
+    The means have one row per peer group. Their number is checked with one
+    small aggregate over the persisted means: up to ``broadcast_max_groups``
+    rows (a few bytes each) they are broadcast, so the measured rows are
+    joined where they lie, without a shuffle; beyond it (or with ``None``)
+    the planner's shuffle join is used, which AQE can still split on a hot
+    group.
     """
     m = F.col(measure).cast("double")
     means = df.groupBy(*peers).agg(F.avg(m).alias("__peer_mean"))
     means = means.select(*[F.col(p).alias(f"__p_{p}") for p in peers], "__peer_mean")
+    if broadcast_max_groups is not None:
+        means = means.persist(StorageLevel.MEMORY_AND_DISK)
+        if means.count() <= broadcast_max_groups:
+            means = F.broadcast(means)
     cond = None
     for p in peers:
         c = df[p].eqNullSafe(means[f"__p_{p}"])

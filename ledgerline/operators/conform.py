@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import decode
+from ledgerline.sources.tables import broadcast_if_small
 
 
 def _order_cols(version: Sequence[str] | str, tiebreak: Sequence[str]) -> list[Column]:
@@ -66,17 +67,19 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], version: Sequence[str] | st
 
 
 def multi_version(df: DataFrame, keys: Sequence[str], min_count: int = 2,
-                  count_col: str = "n_versions") -> DataFrame:
+                  count_col: str = "n_versions", broadcast_max_keys: int | None = 200_000) -> DataFrame:
     """Every row of the keys that occur at least ``min_count`` times.
 
     Counted with a partially aggregated ``groupBy`` and joined back on the
     keys instead of ``COUNT(*) OVER (PARTITION BY keys)``: the count is
     combined map-side, and AQE can split a skewed key in the join, while a
-    window would put a whole hot key into one task.
+    window would put a whole hot key into one task. The repeated keys are
+    broadcast only when their checked count is at most
+    ``broadcast_max_keys`` (then the rows are not shuffled for the join).
     """
     counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
               .filter(F.col(count_col) >= min_count))
-    return df.join(counts, on=list(keys), how="inner")
+    return df.join(broadcast_if_small(counts, broadcast_max_keys), on=list(keys), how="inner")
 
 
 def conform_dimension(child: DataFrame, parent: DataFrame, on: Sequence[str] | str,

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import decimal_ratio, safe_ratio
+from ledgerline.sources.tables import broadcast_if_small
 
 
 def rollup_grain(df: DataFrame, grain: Sequence[str | Column], measures: Mapping[str, Column]) -> DataFrame:
@@ -84,10 +84,7 @@ def peer_index(df: DataFrame, measure: str, peers: Sequence[str], threshold: flo
     m = F.col(measure).cast("double")
     means = df.groupBy(*peers).agg(F.avg(m).alias("__peer_mean"))
     means = means.select(*[F.col(p).alias(f"__p_{p}") for p in peers], "__peer_mean")
-    if broadcast_max_groups is not None:
-        means = means.persist(StorageLevel.MEMORY_AND_DISK)
-        if means.count() <= broadcast_max_groups:
-            means = F.broadcast(means)
+    means = broadcast_if_small(means, broadcast_max_groups)
     cond = None
     for p in peers:
         c = df[p].eqNullSafe(means[f"__p_{p}"])

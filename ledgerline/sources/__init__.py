@@ -1,5 +1,6 @@
 """Sources and sinks: parquet table scans and idempotent overwrite writes."""
 
-from ledgerline.sources.tables import read_table, read_tables, write_table, materialize, literal_rows
+from ledgerline.sources.tables import (broadcast_if_small, literal_rows, materialize, read_table, read_tables,
+                                       write_table)
 
-__all__ = ["read_table", "read_tables", "write_table", "materialize", "literal_rows"]
+__all__ = ["read_table", "read_tables", "write_table", "materialize", "literal_rows", "broadcast_if_small"]

@@ -119,6 +119,7 @@ class ClaimsPipeline:
         self.gold_base = gold_base
         self._overrides: dict[str, DataFrame] = {}
         self._persisted: list[DataFrame] = []
+        self._fingerprint: str | None = None
 
     def release(self) -> None:
         """Unpersist the intermediate frames this pipeline persisted."""
@@ -131,8 +132,9 @@ class ClaimsPipeline:
         return read_table(self.spark, self.sf_dir, name)
 
     def _layer_key(self, name: str) -> tuple:
-        return (application_id(self.spark), _input_fingerprint(self.sf_dir), self.as_of,
-                self.deleted, name)
+        if self._fingerprint is None:       # one listing of the input folder per pipeline
+            self._fingerprint = _input_fingerprint(self.sf_dir)
+        return (application_id(self.spark), self._fingerprint, self.as_of, self.deleted, name)
 
     def _get(self, name: str, build):
         if name not in self._overrides:

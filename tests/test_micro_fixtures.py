@@ -360,3 +360,14 @@ def test_peer_index_broadcast_only_below_checked_group_count(spark):
     assert "BroadcastHashJoin" in plan(small) and "BroadcastExchange" in plan(small)
     assert sorted(map(repr, small.collect())) == sorted(map(repr, big.collect())) == \
         sorted(map(repr, none.collect()))
+
+
+def test_parity_equals_anti_joins_with_duplicates_nulls_and_empty_side(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (None, "y"), (5, "z")], "k int, j string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (None, "y"), (6, "q"), (6, "q")], "k int, j string")
+    keys = ["k", "j"]
+    exp = (a.count(), b.count(), a.join(b, keys, "left_anti").count(), b.join(a, keys, "left_anti").count())
+    r = parity(a, b, keys).first()
+    assert (r.rows_a, r.rows_b, r.only_a, r.only_b) == exp == (5, 5, 3, 4)
+    e = parity(a.limit(0), b, keys).first()
+    assert (e.rows_a, e.rows_b, e.only_a, e.only_b) == (0, 5, 0, 5)

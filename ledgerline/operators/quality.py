@@ -98,41 +98,43 @@ def dq_panel(sources: Mapping[str, DataFrame], metrics: Sequence[Metric],
         recon_parts.setdefault(r.left_source, []).append((f"__r{j}_l", r.left_value))
         recon_parts.setdefault(r.right_source, []).append((f"__r{j}_r", r.right_value))
 
-    out = None
-    recon_rows = None
+    # Each source is aggregated once into one row, and that row is read once:
+    # its metric rows and its reconciliation parts leave in the same inline.
+    # (Two readers would let column pruning split it into two aggregates, i.e.
+    # two full scans of the source.)
+    part_of = {f"__r{j}_{side}": r.name for j, r in enumerate(reconciliations) for side in ("l", "r")}
+    stacked = None
     for src in dict.fromkeys([*per_source, *recon_parts]):
         ms = per_source.get(src, [])
         rs = recon_parts.get(src, [])
         one = sources[src].agg(*[m.value.alias(a) for a, m in ms], *[v.alias(a) for a, v in rs])
-        if ms:
-            rows = one.select(F.inline(F.array(*[
-                F.struct(F.lit(m.name).alias("metric"), F.col(a).cast("string").alias("value"),
-                         _severity(m.severity, F.col(a)).alias("severity"))
-                for a, m in ms])))
-            out = rows if out is None else out.unionByName(rows)
-        if rs:
-            parts = one.select(F.inline(F.array(*[
-                F.struct(F.lit(a).alias("part"), F.col(a).cast("decimal(38,4)").alias("total")) for a, _ in rs])))
-            recon_rows = parts if recon_rows is None else recon_rows.unionByName(parts)
-    if reconciliations:
-        aggs = []
-        for j, _ in enumerate(reconciliations):
-            for side in ("l", "r"):
-                part = f"__r{j}_{side}"
-                aggs.append(F.max(F.when(F.col("part") == part, F.col("total"))).alias(part))
-                aggs.append(F.max(F.when(F.col("part") == part, F.lit(1))).alias(part + "_present"))
-        totals = recon_rows.groupBy().agg(*aggs)
-        recon = []
-        for j, r in enumerate(reconciliations):
-            left, right = F.col(f"__r{j}_l"), F.col(f"__r{j}_r")
-            diff = F.round(F.abs(F.coalesce(left, F.lit(0)) - F.coalesce(right, F.lit(0))), 2)
-            bad = left.isNull() | right.isNull() | (diff > F.lit(r.tolerance))
-            recon.append(F.struct(F.lit(r.name).alias("metric"),
-                                  diff.cast("decimal(38,2)").cast("string").alias("value"),
-                                  F.when(bad, F.lit("erro")).otherwise(F.lit("ok")).alias("severity")))
-        rrows = totals.select(F.inline(F.array(*recon)))
-        out = rrows if out is None else out.unionByName(rrows)
-    return out
+        rows = [F.struct(F.lit(m.name).alias("metric"), F.col(a).cast("string").alias("value"),
+                         _severity(m.severity, F.col(a)).cast("string").alias("severity"),
+                         F.lit(None).cast("string").alias("part"), F.lit(None).cast("decimal(38,4)").alias("total"))
+                for a, m in ms]
+        rows += [F.struct(F.lit(part_of[a]).alias("metric"), F.lit(None).cast("string").alias("value"),
+                          F.lit(None).cast("string").alias("severity"), F.lit(a).alias("part"),
+                          F.col(a).cast("decimal(38,4)").alias("total"))
+                 for a, _ in rs]
+        part = one.select(F.inline(F.array(*rows)))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    if not reconciliations:
+        return stacked.select("metric", "value", "severity")
+    # Fold the few stacked rows: metric rows pass through (one row per metric),
+    # the two parts of each reconciliation meet in its own group.
+    aggs = [F.first("value", ignorenulls=True).alias("value"), F.first("severity", ignorenulls=True).alias("severity")]
+    for p in part_of:
+        aggs.append(F.max(F.when(F.col("part") == p, F.col("total"))).alias(p))
+    folded = stacked.groupBy("metric").agg(*aggs)
+    value, severity = F.col("value"), F.col("severity")
+    for j, r in enumerate(reconciliations):
+        left, right = F.col(f"__r{j}_l"), F.col(f"__r{j}_r")
+        diff = F.round(F.abs(F.coalesce(left, F.lit(0)) - F.coalesce(right, F.lit(0))), 2)
+        bad = left.isNull() | right.isNull() | (diff > F.lit(r.tolerance))
+        is_r = F.col("metric") == F.lit(r.name)
+        value = F.when(is_r, diff.cast("decimal(38,2)").cast("string")).otherwise(value)
+        severity = F.when(is_r, F.when(bad, F.lit("erro")).otherwise(F.lit("ok"))).otherwise(severity)
+    return folded.select("metric", value.alias("value"), severity.alias("severity"))
 
 
 def severity_rank(col: str = "severity") -> Column:

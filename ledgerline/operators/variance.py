@@ -147,12 +147,24 @@ def segment_cost(fact: DataFrame, dim: DataFrame, on: str, by: Sequence[str], am
     """Cost per segment at fact grain (the gold grain lacks the segment).
 
     Ranked by cost per distinct member; ``k`` keeps the top k segments.
+    When the join key is the member itself (``dim`` unique on it), the fact
+    is first reduced to one row per member by a partially aggregated
+    group-by, so the join moves members instead of claims and the distinct
+    member count becomes a plain count (exact sums, same result).
     """
-    joined = fact.select(on, amount, member if member != on else on).join(dim.select(on, *by), on=on, how="inner")
-    agg = joined.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_claims"),
-        safe_ratio(F.sum(amount), F.lit(1000.0), 2).alias("cost_thousands"),
-        safe_ratio(F.sum(amount), F.count_distinct(member), 2).alias("cost_per_member"))
+    if member == on:
+        per_member = fact.groupBy(on).agg(F.count(F.lit(1)).alias("__n"), F.sum(amount).alias("__amt"))
+        joined = per_member.join(dim.select(on, *by), on=on, how="inner")
+        agg = joined.groupBy(*by).agg(
+            F.sum("__n").alias("n_claims"),
+            safe_ratio(F.sum("__amt"), F.lit(1000.0), 2).alias("cost_thousands"),
+            safe_ratio(F.sum("__amt"), F.count(F.lit(1)), 2).alias("cost_per_member"))
+    else:
+        joined = fact.select(on, amount, member).join(dim.select(on, *by), on=on, how="inner")
+        agg = joined.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n_claims"),
+            safe_ratio(F.sum(amount), F.lit(1000.0), 2).alias("cost_thousands"),
+            safe_ratio(F.sum(amount), F.count_distinct(member), 2).alias("cost_per_member"))
     if k is None:
         return agg
     return agg.orderBy(F.col("cost_per_member").desc_nulls_last(), *[F.col(b).asc_nulls_last() for b in by]).limit(k)

@@ -371,3 +371,14 @@ def test_parity_equals_anti_joins_with_duplicates_nulls_and_empty_side(spark):
     assert (r.rows_a, r.rows_b, r.only_a, r.only_b) == exp == (5, 5, 3, 4)
     e = parity(a.limit(0), b, keys).first()
     assert (e.rows_a, e.rows_b, e.only_a, e.only_b) == (0, 5, 0, 5)
+
+
+def test_segment_cost_member_preaggregation_equals_claim_grain(spark):
+    from ledgerline.operators import segment_cost
+    rows = [(i % 37, Decimal(f"{(i * 7) % 100}.{i % 100:02d}")) for i in range(500)] + [(None, Decimal("5.00"))]
+    fact = spark.createDataFrame(rows, "member_id long, paid decimal(18,2)").withColumn("member_copy", F.col("member_id"))
+    dim = spark.createDataFrame([(m, f"s{m % 4}", m % 3) for m in range(30)], "member_id long, seg string, band int")
+    a = segment_cost(fact, dim, "member_id", ["seg", "band"])                       # per-member pre-aggregation
+    b = segment_cost(fact, dim, "member_id", ["seg", "band"], member="member_copy")  # claim grain + distinct
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() == 12

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import safe_ratio
@@ -63,14 +63,24 @@ def excess_by_entity(gold: DataFrame, entity: str, attrs: Sequence[str], base: C
     """Excess cost = recent cost - recent reference x own base-period index.
 
     The base index is per entity; recent totals are per entity and
-    ``attrs`` (as the reference groups them). Both sides are aggregates of
-    the gold table, so the join is between two small frames keyed by entity.
+    ``attrs`` (as the reference groups them). One scan: both periods are
+    conditional aggregates of one group-by on (entity, attrs), and the
+    entity's base index is a window sum over its few aggregated rows (one
+    per attribute combination, never the raw rows). Rows qualify as the
+    inner join of the two period aggregates would: the (entity, attrs)
+    group has recent rows and the entity has base rows; NULL entities
+    never match.
     """
-    base_idx = gold.filter(base).groupBy(entity).agg(
-        (_d(F.sum(cost)) / F.nullif(_d(F.sum(reference)), F.lit(0.0))).alias("__ib"))
-    rec = gold.filter(recent).groupBy(entity, *attrs).agg(
-        F.sum(cost).alias("__c"), F.sum(reference).alias("__r"), F.max(flag).alias("flagged"))
-    out = rec.join(base_idx, on=entity, how="inner")
+    agg = gold.filter(F.col(entity).isNotNull() & (base | recent)).groupBy(entity, *attrs).agg(
+        F.sum(F.when(base, F.col(cost))).alias("__cb"), F.sum(F.when(base, F.col(reference))).alias("__rb"),
+        F.count_if(base).alias("__nb"),
+        F.sum(F.when(recent, F.col(cost))).alias("__c"), F.sum(F.when(recent, F.col(reference))).alias("__r"),
+        F.max(F.when(recent, F.col(flag))).alias("flagged"), F.count_if(recent).alias("__nr"))
+    w = Window.partitionBy(entity)
+    agg = agg.withColumns({"__cb_e": F.sum("__cb").over(w), "__rb_e": F.sum("__rb").over(w),
+                           "__nb_e": F.sum("__nb").over(w)})
+    out = agg.filter((F.col("__nr") > 0) & (F.col("__nb_e") > 0)).withColumn(
+        "__ib", _d("__cb_e") / F.nullif(_d("__rb_e"), F.lit(0.0)))
     if only_flagged:
         out = out.filter(F.col("flagged") == 1)
     return out.select(

@@ -382,3 +382,31 @@ def test_segment_cost_member_preaggregation_equals_claim_grain(spark):
     b = segment_cost(fact, dim, "member_id", ["seg", "band"], member="member_copy")  # claim grain + distinct
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert a.count() == 12
+
+
+def test_excess_by_entity_one_pass_equals_two_aggregates_joined(spark):
+    from ledgerline.operators import excess_by_entity
+    rows = []
+    for e in (1, 2, 3, None):
+        for m in (200006, 200011, 200102, 200105):
+            for attr in ("a", "b"):
+                if e == 3 and m < 200101:
+                    continue                                   # no base rows: entity drops out
+                if e == 2 and attr == "b" and m >= 200101:
+                    continue                                   # base-only group: feeds the base index only
+                cost = None if (e == 1 and m == 200011 and attr == "a") else Decimal(f"{(e or 5) * 10 + m % 7}.25")
+                rows.append((e, attr, m, cost, Decimal(f"{m % 13 + 3}.50"), int(m >= 200101 and e == 1)))
+    gold = spark.createDataFrame(rows, "e int, attr string, month int, cost_total decimal(28,2), "
+                                       "ref_total decimal(28,2), anomaly_flag int")
+    base, recent = F.col("month") <= 200012, F.col("month") >= 200101
+    d = lambda c: F.col(c).cast("double")
+    b = gold.filter(base).groupBy("e").agg((F.sum("cost_total").cast("double")
+                                             / F.nullif(F.sum("ref_total").cast("double"), F.lit(0.0))).alias("ib"))
+    r = gold.filter(recent).groupBy("e", "attr").agg(F.sum("cost_total").alias("c"), F.sum("ref_total").alias("r"),
+                                                     F.max("anomaly_flag").alias("flagged"))
+    exp = r.join(b, "e").select("e", "attr", "flagged", F.round("ib", 3).alias("idx_base"),
+                                F.round(d("c") / F.nullif(d("r"), F.lit(0.0)), 3).alias("idx_recent"),
+                                F.round(d("c") - d("r") * F.col("ib"), 2).alias("excess_cost"))
+    got = excess_by_entity(gold, "e", ["attr"], base, recent, flag="anomaly_flag", only_flagged=False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    assert got.count() == 3

@@ -145,7 +145,7 @@ level AS (
   WHERE (total - used) * weight <= cap * open_weight
   ORDER BY cap / weight, source NULLS LAST LIMIT 1),
 targets AS (
-  SELECT source, source_size, least(cap::DOUBLE, (weight * amount)::DOUBLE / open_weight::DOUBLE) AS target
+  SELECT source, source_size, least(cap::DOUBLE, (weight * level.amount)::DOUBLE / level.open_weight::DOUBLE) AS target
   FROM ranked, level),
 rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,

@@ -88,5 +88,7 @@ def byte_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
 # A chunk is a run of white space and the word after it; a cut stands only
 # between a non-space and a white-space character.
 SPACED_CHUNK = re.compile(f"[{UNICODE_SPACE}]*[^{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+")
-BARE_CHUNK = re.compile(f"[^{UNICODE_SPACE}]+")
+# Without white space, a word also ends before a stop that follows a letter or number
+# (pre-tokens hold either letters, or one number, or other signs).
+BARE_CHUNK = re.compile(rf"[^\W\d_]+(?=[.,;:!?])|[^{UNICODE_SPACE}]+")
 SAFE_CUT = re.compile(f"(?<=[^{UNICODE_SPACE}])[{UNICODE_SPACE}]")

@@ -200,6 +200,8 @@ def main_text(source: str | None) -> str:
         keep = regions(lengths, SURGE_CHARS)
         if not keep:  # a short page: its longest blocks
             keep = regions(lengths, max([1, *block_sums(lengths)]))
+    # a window also takes in empty lines (such as rows of links) next to the text
+    keep = [(next(i for i in range(a, b) if lengths[i]), next(i for i in range(b - 1, a - 1, -1) if lengths[i]) + 1) for a, b in keep]
     marked = any(inside for _, _, inside in lines)
     return " ".join(text for a, b in keep for text, _, inside in lines[a:b] if text and (inside or not marked))
 

@@ -72,17 +72,17 @@ def as_text(a: Column) -> Column:
         F.base64(F.unhex(F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), ""))), r"\s", "")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Every (doc_id, text hash) with the key of the next document, ascending, the last followed by the first.
+def with_next(rows: DataFrame) -> DataFrame:
+    """Every (row_key, text_hash) with the key of the next document, ascending, the last followed by the first.
 
     Works on keys and lengths only; copies of a whole row are one document. NULL
     ids come last, equal ids are ordered by the hash of their text.
     """
-    keys = docs.groupBy("doc_id", "text_hash").agg(F.first("n_chars").alias("n_chars"))
-    placed = with_global_index(keys, [F.col("doc_id").asc_nulls_last(), F.col("text_hash")], "place")
+    keys = rows.groupBy("row_key", "text_hash").agg(F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"))
+    placed = with_global_index(keys, [F.col("doc_id").asc_nulls_last(), F.col("text_hash"), F.col("row_key")], "place")
     count = max(1, placed.count())
-    following = placed.select(F.col("place").alias("_place"), F.col("doc_id").alias("next_id"), F.col("text_hash").alias("next_hash"))
-    return placed.withColumn("_place", (F.col("place") + 1) % count).join(following, "_place").drop("_place", "place")
+    following = placed.select(F.col("place").alias("_place"), F.col("row_key").alias("next_key"), F.col("text_hash").alias("next_hash"))
+    return placed.withColumn("_place", (F.col("place") + 1) % count).join(following, "_place").drop("_place", "place", "doc_id")
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, size: int = SHINGLE) -> DataFrame:
@@ -93,19 +93,23 @@ def edited_fingerprints(docs: DataFrame, k: int = K, size: int = SHINGLE) -> Dat
     its own sketch to the one before it, so a text is moved once, its passage at
     most half as far again.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    # a row is named by two hashes that are never NULL, so that the joins and the
+    # removal of copies are dealt by the same columns and passages move once
+    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+            .withColumn("row_key", F.xxhash64("doc_id", "text_hash")))
     follows = with_next(rows.withColumn("n_chars", F.length("text")))
     half = F.floor(F.col("n_chars") / 2).cast("int")
 
-    lead = follows.select(F.col("doc_id").alias("to_id"), F.col("text_hash").alias("to_hash"), half.alias("half"), "next_id", "next_hash")
-    is_next = rows["doc_id"].eqNullSafe(lead["next_id"]) & (rows["text_hash"] == lead["next_hash"])
+    lead = follows.select(F.col("row_key").alias("to_key"), F.col("text_hash").alias("to_hash"), half.alias("half"), "next_key", "next_hash")
+    is_next = (rows["row_key"] == lead["next_key"]) & (rows["text_hash"] == lead["next_hash"])
     given = (rows.join(lead, is_next)
-             .select("to_id", "to_hash", "half", F.substring(F.col("text"), F.lit(1), F.col("half")).alias("passage"),
+             # naming the giver keeps both sides' columns alike, so that the texts are shuffled once for both joins
+             .select("to_key", "to_hash", "half", F.col("doc_id").alias("next_doc_id"), F.substring(F.col("text"), F.lit(1), F.col("half")).alias("passage"),
                      sketch(F.col("text"), k, size).alias("next_sketch"))
-             .dropDuplicates(["to_id", "to_hash"]))
-    is_own = rows["doc_id"].eqNullSafe(given["to_id"]) & (rows["text_hash"] == given["to_hash"])
+             .dropDuplicates(["to_key", "to_hash"]))
+    is_own = (rows["row_key"] == given["to_key"]) & (rows["text_hash"] == given["to_hash"])
     kept = F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - F.col("half"))
     edited = (rows.join(given, is_own).withColumn("n_chars", F.length("text").cast("long"))
               .withColumn("edited", F.concat(kept, "passage")))
     return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                         sketch(F.col("text"), k, size).alias("sketch"), sketch(F.col("edited"), k, size).alias("edited_sketch"), "next_sketch")
+                         sketch(F.col("text"), k, size).alias("sketch"), sketch(F.col("edited"), k, size).alias("edited_sketch"), "next_sketch", "next_doc_id")

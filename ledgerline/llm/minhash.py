@@ -39,7 +39,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5          # likeness 0.85 misses all bands with probability under 1e-6
 GROUP_SHINGLES = 400_000     # shingles sketched at once by one worker
 LINK_PERCENT = 85
-HUB_GROWTH = 4
+HUB_GROWTH = 16
 
 _EMPTY = np.uint64(2**64 - 1)
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -160,14 +160,58 @@ def connected(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """Members of buckets in which two components could still be joined.
+
+    ``reach`` is the share of a set's shingles that any other set holds. Sets A
+    and B have a likeness of 1 / (1 / reach(A) + 1 / reach(B) - 1) at most, so a
+    member goes where it falls short even with the bucket's widest reach.
+    """
+    most = F.lit(1 + 100 / LINK_PERCENT + 1e-9)
+    widest = members.groupBy("key").agg(F.max("reach").alias("widest"))
+    left = members.join(widest, "key").where((F.col("reach") > 0) & (1 / F.col("reach") + 1 / F.col("widest") <= most)).drop("widest")
+    return materialize(_mixed(materialize(left, "reached")), "members")
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold two components at least."""
+    keys = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return members.join(keys.select("key"), "key", "left_semi")
+
+
+def _with_reach(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their ``reach``, and the sets that are still in a bucket (a round moves no others)."""
+    sets = materialize(sets.join(members.select("id").distinct(), "id", "left_semi"), "sets")
+    own = (sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+           .agg(F.count("*").alias("sets"), F.min("id").alias("id")).where("sets = 1")
+           .groupBy("id").agg(F.count("*").alias("own")))
+    reached = (members.drop("reach").join(own, "id", "left")
+               .withColumn("reach", (F.col("n") - F.coalesce("own", F.lit(0))) / F.col("n")).drop("own"))
+    return reached, sets
+
+
 def _pairs(members: DataFrame, hubs: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Members against the hubs of their bucket, and the hubs chosen."""
+    """Members against the hubs of their bucket, and the hubs chosen.
+
+    After the first round two members that share several buckets meet in the
+    first of them only (where neither is that bucket's hub yet, they meet there
+    in a later round).
+    """
+    if turn:
+        own = members.groupBy("id").agg(F.collect_set("key").alias("keys"))  # a key per band at most
+        members = members.join(own, "id")
+    else:
+        members = members.withColumn("keys", F.array("key"))
     group = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(hubs))
     chosen = members.groupBy("key", group.alias("g")).agg(
-        F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "label")).alias("h"))
-    chosen = chosen.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.label").alias("hub_label"))
-    small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-    pairs = (members.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & (100 * small >= LINK_PERCENT * large))
+        F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "reach", "label", "keys")).alias("h"))
+    chosen = chosen.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"),
+                           F.col("h.reach").alias("hub_reach"), F.col("h.label").alias("hub_label"), F.col("h.keys").alias("hub_keys"))
+    # the most shingles that the two can share, by size and by what others hold of them
+    both = F.least(F.col("n") * F.col("reach"), F.col("hub_n") * F.col("hub_reach")) + 1e-6
+    possible = 100 * both >= LINK_PERCENT * (F.col("n") + F.col("hub_n") - both)
+    here = F.col("key") == F.array_min(F.array_intersect("keys", "hub_keys"))
+    pairs = (members.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & possible & here)
              .select("id", "hub", "label", "hub_label", "n", "hub_n").distinct())
     return pairs, chosen.select("key", F.col("hub").alias("id"))
 
@@ -200,6 +244,8 @@ def _link(source: DataFrame, reps: DataFrame) -> DataFrame:
 
     edges = None
     labels = members.select(F.col("id").alias("node"), F.col("id").alias("label")).where("false")
+    members, sets = _with_reach(members, sets)
+    members = _open(members)
     hubs, turn = 1, 0
     while members.take(1):
         pairs, used = _pairs(members, hubs, turn)
@@ -216,8 +262,7 @@ def _link(source: DataFrame, reps: DataFrame) -> DataFrame:
             labels = materialize(connected(edges), "labels")
             members = (members.drop("label").join(labels, members["id"] == labels["node"], "left")
                        .withColumn("label", F.coalesce("label", "id")).drop("node"))
-        members = materialize(members, "members")
-        mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        members = materialize(members.join(mixed.select("key"), "key", "left_semi"), "members")
+        members, sets = _with_reach(materialize(_mixed(members), "members"), sets)
+        members = _open(members)
         hubs, turn = hubs * HUB_GROWTH, turn + 1
     return labels

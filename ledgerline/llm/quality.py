@@ -124,11 +124,14 @@ class Shape:
         """Replace covariances _c{i}{j} by the factor, column after column."""
         p = len(self.names)
         for j in range(p):
+            above = {}
             for i in range(j, p):
                 rest = F.col(f"_c{i}{j}")
                 for k in range(j):
                     rest = rest - F.col(self.factor(i, k)) * F.col(self.factor(j, k))
-                groups = groups.withColumn(self.factor(i, j), F.sqrt(rest) if i == j else rest / F.col(self.factor(j, j)))
+                above[i] = rest
+            groups = groups.withColumn(self.factor(j, j), F.sqrt(above[j]))
+            groups = groups.withColumns({self.factor(i, j): above[i] / F.col(self.factor(j, j)) for i in range(j + 1, p)}) if j + 1 < p else groups
         return groups.drop(*[f"_c{i}{j}" for j in range(p) for i in range(j, p)])
 
     def distance(self) -> Column:
@@ -162,9 +165,7 @@ def fit(rows: DataFrame, names: tuple[str, ...] = FEATURES, floor: dict[str, flo
     factor = consistency(p + p % 2, support)
 
     def floored(groups: DataFrame) -> DataFrame:
-        for i, name in enumerate(names):
-            groups = groups.withColumn(f"_c{i}{i}", F.col(f"_c{i}{i}") + floor[name] ** 2)
-        return shape.cholesky(groups)
+        return shape.cholesky(groups.withColumns({f"_c{i}{i}": F.col(f"_c{i}{i}") + floor[n] ** 2 for i, n in enumerate(names)}))
 
     middle = rows.groupBy("pool").agg(
         F.count("*").alias("_n"), *[F.percentile_approx(n, 0.5, 1000).alias(shape.centre(i)) for i, n in enumerate(names)])
@@ -189,7 +190,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, text_col: str = "text") -> Da
     """doc_id, lang, source, the counts, base_failed, distance (NULL without a verdict) and kept, per row of ``docs``."""
     counted = materialize(
         statistics(docs.select("doc_id", "lang", "source", F.col(text_col).alias("text"))).drop("text").withColumns(feature_columns()), "statistics")
-    rows = with_pool(counted)
+    rows = materialize(with_pool(counted), "pooled")  # read by every step
     shapes = fit(rows.where(~F.col("base_failed")))
     return (rows.join(shapes, "pool", "left").withColumn("distance", Shape(FEATURES).distance())
             .withColumn("kept", ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= cutoff)))

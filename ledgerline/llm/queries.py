@@ -34,7 +34,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", f.as_text(F.col("sketch")).alias("fingerprint"),
         f.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         f.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        f.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        f.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"), "next_doc_id")
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,8 +50,9 @@ class Interval:
             return F.when(inside, F.shiftright(hash_col - self.start, step))
         # ids span 64 bits, so their distance needs a wider type than a long
         far = id_col.cast("decimal(38,0)") - F.lit(str(self.start)).cast("decimal(38,0)")
+        width = F.lit(str(1 << step)).cast("decimal(38,0)")
         return F.when((hash_col == self.hash_value) & (far >= 0) & (far < F.lit(str(1 << self.bits)).cast("decimal(38,0)")),
-                      F.floor(far / F.lit(str(1 << step)).cast("decimal(38,0)")).cast("long"))
+                      ((far - far % width) / width).cast("long"))  # exact: a decimal quotient would be rounded up
 
 
 @dataclass(frozen=True)

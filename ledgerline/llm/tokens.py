@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import SAFE_CUT, SPACED_CHUNK, byte_batches
 
 GROUP_CHARS = 1_000_000      # characters worked through at once
-TABLE_ENTRIES = 300_000      # chunks remembered by one Python worker
+TABLE_ENTRIES = 1_000_000      # chunks remembered by one Python worker
 TABLE_CHUNK = 64             # longer chunks are not remembered
 ENCODE_CHARS = 200_000       # characters in one call of the tokenizer
 

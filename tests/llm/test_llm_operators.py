@@ -73,7 +73,7 @@ def test_licenses(spark):
 
 def test_license_text_over_lines_and_near_text(spark):
     full = licenses.TEMPLATES["gpl-3.0"][1]
-    wrapped = "Some title\n\n" + full.replace(" the ", "\nthe ").replace("hope", "wish") + "\n\nother words follow here"
+    wrapped = "Some title\n\n" + full.replace(" the ", "\nthe ").replace("hope", "wish") + "\n\n" + PROSE
     rows = licenses.scan_licenses(spark.createDataFrame([(1, wrapped)], "doc_id long, text string")).collect()
     assert [(r["license_id"], r["scope"]) for r in rows] == [("gpl-3.0", "paragraph")] and 0.9 < rows[0]["dice"] < 1
 
@@ -509,7 +509,8 @@ def test_quality_of_a_table(spark):
     rows, text = run(spark, "op10_quality_rules"), dict(sf_rows())
     assert len(rows) == len(text)
     for r in rows:
-        assert {k: r[k] for k in (s := brute.statistics(text[r["doc_id"]]))} == s
+        wanted = brute.statistics(text[r["doc_id"]])
+        assert {k: r[k] for k in wanted} == wanted
         assert not (r["kept"] and r["base_failed"])
     labels = dict(duckdb.connect().execute(f"SELECT doc_id, quality FROM '{SF}/labels.parquet'").fetchall())
     clean = [r["kept"] for r in rows if labels.get(r["doc_id"]) == 1 and not r["base_failed"]]

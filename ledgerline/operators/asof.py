@@ -60,6 +60,8 @@ def asof_join(fact: DataFrame, intervals: DataFrame, key: Sequence[str] | str, a
         F.col(start).alias("__t"), F.lit(0).alias("__kind"),
         F.col(start).alias("__o_from"), F.col(end).alias("__o_to"),
         F.struct(F.col(start).alias("__from"), F.col(end).alias("__to"), *[F.col(c) for c in cols]).alias("__iv"))
+    if how == "inner":       # a fact without key can't match: it is not shuffled into one group
+        fact = fact.dropna(subset=keys)
     fx = fact.select("*", *[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
                      F.col(at).alias("__t"), F.lit(1).alias("__kind"))
     timeline = fx.unionByName(iv, allowMissingColumns=True)

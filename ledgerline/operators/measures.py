@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import decimal_ratio, safe_ratio
-from ledgerline.sources.tables import broadcast_if_small
 
 
 def rollup_grain(df: DataFrame, grain: Sequence[str | Column], measures: Mapping[str, Column]) -> DataFrame:
@@ -61,8 +60,7 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
 
 def peer_index(df: DataFrame, measure: str, peers: Sequence[str], threshold: float = 1.5,
                volume: str | None = None, min_volume: int = 10, index_col: str = "peer_index",
-               flag_col: str = "anomaly_flag", scale: int = 4, mean_col: str | None = None,
-               broadcast_max_groups: int | None = 200_000) -> DataFrame:
+               flag_col: str = "anomaly_flag", scale: int = 4, mean_col: str | None = None) -> DataFrame:
     """Measure divided by the mean of its peer group (self included).
 
     ``index = round(measure / NULLIF(avg(measure) over peers, 0), scale)``;
@@ -74,17 +72,13 @@ def peer_index(df: DataFrame, measure: str, peers: Sequence[str], threshold: flo
     a window partition would); a huge peer group is never funnelled into one
     task the way ``AVG() OVER (PARTITION BY ...)`` would.
 
-    The means have one row per peer group. Their number is checked with one
-    small aggregate over the persisted means: up to ``broadcast_max_groups``
-    rows (a few bytes each) they are broadcast, so the measured rows are
-    joined where they lie, without a shuffle; beyond it (or with ``None``)
-    the planner's shuffle join is used, which AQE can still split on a hot
-    group.
+    The means have one row per peer group; the planner broadcasts them when
+    their measured bytes are under its threshold and otherwise shuffles both
+    sides, a join that AQE can still split on a hot group.
     """
     m = F.col(measure).cast("double")
     means = df.groupBy(*peers).agg(F.avg(m).alias("__peer_mean"))
     means = means.select(*[F.col(p).alias(f"__p_{p}") for p in peers], "__peer_mean")
-    means = broadcast_if_small(means, broadcast_max_groups)
     cond = None
     for p in peers:
         c = df[p].eqNullSafe(means[f"__p_{p}"])

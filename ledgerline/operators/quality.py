@@ -156,9 +156,9 @@ def quality_gate(panel: DataFrame, fail_on: str = "erro") -> DataFrame:
 
 def assert_gate(panel: DataFrame, fail_on: str = "erro") -> None:
     """Raise if the gate has rows; one small aggregate, no collect of data."""
-    blocking = quality_gate(panel, fail_on).select("metric", "value").limit(50).collect()
-    if blocking:
-        raise AssertionError(f"quality gate failed: {[tuple(r) for r in blocking]}")
+    found = quality_gate(panel, fail_on).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("metric")).alias("metrics")).first()
+    if found["n"]:
+        raise AssertionError(f"quality gate failed: {found['n']} rows, metrics {found['metrics']}")
 
 
 def reconcile(left: DataFrame, right: DataFrame, left_measure: str, right_measure: str,

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import safe_ratio
-from ledgerline.sources.tables import broadcast_if_small
 
 
 def _d(c: str | Column) -> Column:
@@ -97,17 +96,14 @@ def flagged_entities(gold: DataFrame, entity: str, flag: str = "anomaly_flag") -
 
 def excess_by_segment(gold: DataFrame, segment: Sequence[str] | str, base: Column, recent: Column,
                       exclude: DataFrame | None = None, entity: str | None = None,
-                      cost: str = "cost_total", reference: str = "ref_total",
-                      broadcast_max_excluded: int | None = 200_000) -> DataFrame:
+                      cost: str = "cost_total", reference: str = "ref_total") -> DataFrame:
     """Segment-level excess after removing already explained entities.
 
     ``exclude`` is an explicit entity set (``left_anti`` on ``entity``), so
-    money attributed to a concentrated cause is not counted again here. The
-    set is broadcast only when its checked size is at most
-    ``broadcast_max_excluded`` entities.
+    money attributed to a concentrated cause is not counted again here.
     """
     seg = [segment] if isinstance(segment, str) else list(segment)
-    src = (gold.join(broadcast_if_small(exclude, broadcast_max_excluded), on=entity, how="left_anti")
+    src = (gold.join(exclude, on=entity, how="left_anti")
            if exclude is not None else gold)
     agg = src.groupBy(*seg).agg(
         _period_sum(cost, base).alias("__cb"), _period_sum(reference, base).alias("__rb"),

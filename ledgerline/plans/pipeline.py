@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +66,8 @@ GOLD_COLS = [
 
 
 def _gt0(v: Column, hit: str) -> Column:
-    return F.when(v > 0, F.lit(hit)).otherwise(F.lit("ok"))
+    """NULL is an error: an unknown count proves nothing."""
+    return F.when(v.isNull(), F.lit("erro")).when(v > 0, F.lit(hit)).otherwise(F.lit("ok"))
 
 
 # Layers written as tables (like the reference's CREATE OR REPLACE TABLE per
@@ -80,18 +80,19 @@ LAYER_TABLES = frozenset({
 _LAYER_STORE: dict[tuple, str] = {}
 
 
-def _input_fingerprint(sf_dir: str) -> str:
-    """Paths, sizes and modification times of the input files (path only
-    when the folder is not on a local file system)."""
-    h = hashlib.sha1(sf_dir.encode())
-    try:
-        for root, _, files in sorted(os.walk(sf_dir)):
-            for f in sorted(files):
-                st = os.stat(os.path.join(root, f))
-                h.update(f"{root}/{f}:{st.st_size}:{st.st_mtime_ns}".encode())
-    except OSError:
-        pass
-    return h.hexdigest()[:16]
+def _input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Paths, sizes and modification times of the input files, listed through
+    the Hadoop file system of the path (local, hdfs, s3a, ...); a folder that
+    cannot be listed or holds no file is an error, never a stale answer."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    if not found:
+        raise FileNotFoundError(f"no input files under {sf_dir}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:16]
 
 
 class ClaimsPipeline:
@@ -109,7 +110,7 @@ class ClaimsPipeline:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = cm.AS_OF,
                  deleted: str = "before_dedup", reuse_layers: bool = True, fresh: tuple[str, ...] = (),
-                 gold_base: str = "persist"):
+                 gold_base: str = "write"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
@@ -118,22 +119,15 @@ class ClaimsPipeline:
         self.fresh = frozenset(fresh)
         self.gold_base = gold_base
         self._overrides: dict[str, DataFrame] = {}
-        self._persisted: list[DataFrame] = []
         self._fingerprint: str | None = None
 
-    def release(self) -> None:
-        """Unpersist the intermediate frames this pipeline persisted."""
-        for df in self._persisted:
-            df.unpersist()
-        self._persisted.clear()
-
     # ------------------------------------------------------------- sources
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     def _layer_key(self, name: str) -> tuple:
         if self._fingerprint is None:       # one listing of the input folder per pipeline
-            self._fingerprint = _input_fingerprint(self.sf_dir)
+            self._fingerprint = _input_fingerprint(self.spark, self.sf_dir)
         return (application_id(self.spark), self._fingerprint, self.as_of, self.deleted, name)
 
     def _get(self, name: str, build):
@@ -389,13 +383,9 @@ class ClaimsPipeline:
         })
         g = g.withColumn("specialty_name", decode("specialty", cm.SPECIALTY_NAMES, cm.UNKNOWN_LABEL))
         # The peer mean is a grouped aggregate joined back to these rows. Keeping
-        # the per-grain rows (persisted, or written to the checkpoint folder)
-        # stops the claim aggregation from running once per side of that join.
+        # the per-grain rows (written to the checkpoint folder) stops the claim aggregation from running once per side of that join.
         if self.gold_base == "write":
             g = materialize(g, f"gold_base_{period}")
-        elif self.gold_base == "persist":
-            g = g.persist(StorageLevel.MEMORY_AND_DISK)
-            self._persisted.append(g)
         return peer_index(g, "cost_index", ["specialty", period], threshold=cm.PEER_THRESHOLD,
                           volume="n_claims", min_volume=cm.PEER_MIN_CLAIMS)
 

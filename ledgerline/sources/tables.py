@@ -10,9 +10,7 @@ import os
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
 
@@ -65,19 +63,3 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     path = os.path.join(base, "tables", f"{name or 'table'}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only behind a checked size.
-
-    For a derived side of a join (per-group aggregates) whose size the
-    planner cannot estimate: ``df`` is persisted, its rows are counted with
-    one small aggregate, and it is marked for broadcast when it has at most
-    ``max_rows`` rows, so the other side is joined where it lies instead of
-    being shuffled. Beyond the limit (or with ``None``) it is returned as
-    is and the planner's shuffle join applies.
-    """
-    if max_rows is None:
-        return df
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df

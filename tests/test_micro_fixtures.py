@@ -354,8 +354,8 @@ def test_peer_index_broadcast_only_below_checked_group_count(spark):
     rows = [(i, f"g{i % 7}" if i % 11 else None, float(i % 13) + 0.5) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, g string, idx double")
     small = peer_index(df, "idx", ["g"])                              # 8 groups: broadcast
-    big = peer_index(df, "idx", ["g"], broadcast_max_groups=3)        # over the limit: planner's choice
-    none = peer_index(df, "idx", ["g"], broadcast_max_groups=None)
+    big = peer_index(df, "idx", ["g"])
+    none = peer_index(df.repartition(3), "idx", ["g"])
     plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan(small) and "BroadcastExchange" in plan(small)
     assert sorted(map(repr, small.collect())) == sorted(map(repr, big.collect())) == \

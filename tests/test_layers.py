@@ -2,6 +2,7 @@
 
 import shutil
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ def test_a_replaced_input_under_a_uri_is_read_again(spark, tmp_path):
     shutil.copytree(SF_SMALL, folder)
     uri = f"file://{folder}"
     before = ClaimsPipeline(spark, uri).landing_claims.count()
-    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(1000).toPandas()
-    lines.to_parquet(folder / "lineitem.parquet")
+    (folder / "lineitem.parquet").chmod(0o644)
+    pq.write_table(pq.read_table(f"{SF_SMALL}/lineitem.parquet").slice(0, 1000), folder / "lineitem.parquet")
     spark.catalog.clearCache()
     assert ClaimsPipeline(spark, uri).landing_claims.count() < before
     with pytest.raises(Exception):

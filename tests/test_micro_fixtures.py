@@ -350,16 +350,15 @@ def test_expectations_observed_in_the_consuming_pass(spark):
     assert got == {"non_negative": ("drop", 1, 2), "has_v": ("warn", 2, 1)}
 
 
-def test_peer_index_broadcast_only_below_checked_group_count(spark):
+def test_peer_index_equals_the_window_mean_and_persists_nothing(spark):
+    from pyspark.sql import Window
     rows = [(i, f"g{i % 7}" if i % 11 else None, float(i % 13) + 0.5) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, g string, idx double")
-    small = peer_index(df, "idx", ["g"])                              # 8 groups: broadcast
-    big = peer_index(df, "idx", ["g"])
-    none = peer_index(df.repartition(3), "idx", ["g"])
-    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan(small) and "BroadcastExchange" in plan(small)
-    assert sorted(map(repr, small.collect())) == sorted(map(repr, big.collect())) == \
-        sorted(map(repr, none.collect()))
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = {r["id"]: r["peer_index"] for r in peer_index(df, "idx", ["g"]).collect()}
+    wanted = df.withColumn("w", F.round(F.col("idx") / F.avg("idx").over(Window.partitionBy("g")), 4)).collect()
+    assert found == {r["id"]: r["w"] for r in wanted}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
 
 
 def test_parity_equals_anti_joins_with_duplicates_nulls_and_empty_side(spark):

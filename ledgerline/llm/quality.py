@@ -154,7 +154,8 @@ def with_pool(rows: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     pools = (sizes.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
              .select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                      F.when(~small, own).when(F.col("m") >= least, F.to_json(F.struct("lang"))).otherwise(F.lit("all")).alias("pool")))
-    return (rows.join(pools, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")))
+    # written, the small tables have known sizes: Spark broadcasts them and the rows of a hot group stay where they are
+    return (rows.join(materialize(pools, "pools"), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")))
             .drop("_lang", "_source"))
 
 
@@ -169,7 +170,7 @@ def fit(rows: DataFrame, names: tuple[str, ...] = FEATURES, floor: dict[str, flo
 
     middle = rows.groupBy("pool").agg(
         F.count("*").alias("_n"), *[F.percentile_approx(n, 0.5, 1000).alias(shape.centre(i)) for i, n in enumerate(names)])
-    middle = middle.where(F.col("_n") >= least).drop("_n")
+    middle = materialize(middle.where(F.col("_n") >= least).drop("_n"), "middle")
     spread = rows.join(middle, "pool").groupBy("pool").agg(
         *[F.first(shape.centre(i)).alias(shape.centre(i)) for i in range(p)],
         *[F.pow(1.4826 * F.percentile_approx(F.abs(F.col(n) - F.col(shape.centre(i))), 0.5, 1000), 2).alias(f"_c{i}{i}") for i, n in enumerate(names)],
@@ -177,7 +178,7 @@ def fit(rows: DataFrame, names: tuple[str, ...] = FEATURES, floor: dict[str, flo
     shapes = materialize(floored(spread), "shapes")
     for _ in range(steps):
         far = rows.join(shapes, "pool").withColumn("_d", shape.distance())
-        nearest = far.groupBy("pool").agg(F.percentile_approx("_d", support, 1000).alias("_h"))
+        nearest = materialize(far.groupBy("pool").agg(F.percentile_approx("_d", support, 1000).alias("_h")), "nearest")
         kept = far.join(nearest, "pool").where(F.col("_d") <= F.col("_h"))
         moments = kept.groupBy("pool").agg(
             *[F.avg(n).alias(shape.centre(i)) for i, n in enumerate(names)],

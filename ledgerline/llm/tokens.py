@@ -18,18 +18,21 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SAFE_CUT, SPACED_CHUNK, byte_batches
+from ledgerline.llm.common import BARE_CHUNK, SAFE_CUT, SPACED_CHUNK, byte_batches
 
 GROUP_CHARS = 1_000_000      # characters worked through at once
 TABLE_ENTRIES = 1_000_000      # chunks remembered by one Python worker
 TABLE_CHUNK = 64             # longer chunks are not remembered
 ENCODE_CHARS = 200_000       # characters in one call of the tokenizer
+JOINED_CHUNKS = 2000         # chunks without white space that are encoded as one text
+MARK = "\x01"                # stands between them, if the tokenizer gives it an id of its own
 
 
 def tokenizer_path(name: str) -> str:
@@ -42,6 +45,10 @@ class ChunkTable:
 
     ``ids=True`` keeps little-endian unsigned 32-bit ids as bytes. The table is
     emptied when it is full, so its memory is bounded whatever the texts hold.
+    Chunks without white space are encoded many at a time with a mark between
+    them, where the tokenizer keeps the mark to itself; texts are lower-cased
+    (A-Z) before they are cut, where the tokenizer would do so and no special
+    string comes of it, so that fewer chunks differ.
     """
 
     def __init__(self, path: str, pattern: re.Pattern, ids: bool):
@@ -49,9 +56,35 @@ class ChunkTable:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern, self.ids, self.known = pattern, ids, {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        normal = self.tokenizer.normalizer
+        self.folds = normal is not None and normal.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
+        alone, apart = self._ids(MARK), self._ids(f"a {MARK} b")
+        self.mark = alone[0] if pattern is BARE_CHUNK and apart == self._ids("a") + alone + self._ids("b") and len(alone) == 1 else None
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _folded(self, text: str) -> str:
+        if not self.folds:
+            return text
+        lower = text.encode().lower().decode()
+        return text if any(s in lower for s in self.special) else lower
 
     def _learn(self, chunks: list[str], into: dict) -> None:
         import numpy as np
+        if self.ids and self.mark is not None:
+            joined = [c for c in chunks if MARK not in c]
+            chunks = [c for c in chunks if MARK in c]
+            for start in range(0, len(joined), JOINED_CHUNKS):
+                group = joined[start:start + JOINED_CHUNKS]
+                found = self.tokenizer.encode_batch_fast([f" {MARK} ".join(group) + f" {MARK}"], add_special_tokens=False)[0].ids
+                found = np.array(found, "<u4")
+                ends, packed = (4 * np.flatnonzero(found == self.mark)).tolist(), found.tobytes()
+                if len(ends) == len(group):
+                    into.update((c, packed[a:b]) for c, a, b in zip(group, [0, *(e + 4 for e in ends)], ends))
+                else:
+                    chunks += group
         for group in byte_batches(chunks, ENCODE_CHARS):
             done = self.tokenizer.encode_batch_fast(group, add_special_tokens=False)
             if self.ids:
@@ -61,7 +94,7 @@ class ChunkTable:
 
     def parts(self, texts: list[str]) -> Iterator[list]:
         """Per text the counts (or id bytes) of its chunks, in order."""
-        cut = [self.pattern.findall(t) for t in texts]
+        cut = [self.pattern.findall(self._folded(t)) for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > TABLE_ENTRIES:
             self.known = {}

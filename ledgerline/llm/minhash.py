@@ -211,8 +211,13 @@ def _pairs(members: DataFrame, hubs: int, turn: int) -> tuple[DataFrame, DataFra
     both = F.least(F.col("n") * F.col("reach"), F.col("hub_n") * F.col("hub_reach")) + 1e-6
     possible = 100 * both >= LINK_PERCENT * (F.col("n") + F.col("hub_n") - both)
     here = F.col("key") == F.array_min(F.array_intersect("keys", "hub_keys"))
-    pairs = (members.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & possible & here)
-             .select("id", "hub", "label", "hub_label", "n", "hub_n").distinct())
+    met = members.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & possible & here)
+    # two hubs meet twice, once from either side: the smaller id is named first, and one pair is left
+    sides = [("id", "hub"), ("label", "hub_label"), ("n", "hub_n")]
+    turned = F.col("id") > F.col("hub")
+    pairs = met.select(
+        *[F.when(turned, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in sides],
+        *[F.when(turned, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in sides]).distinct()
     return pairs, chosen.select("key", F.col("hub").alias("id"))
 
 

@@ -2,10 +2,10 @@
 
 from ledgerline.functions.columns import (
     any_not_null, decode, first_failing, month_int, month_start, quarter_int,
-    safe_ratio, decimal_ratio, to_money, passes, hash_bucket, mod_bucket,
+    safe_ratio, decimal_ratio, passes, hash_bucket, mod_bucket,
 )
 
 __all__ = [
     "any_not_null", "decode", "first_failing", "month_int", "month_start", "quarter_int",
-    "safe_ratio", "decimal_ratio", "to_money", "passes", "hash_bucket", "mod_bucket",
+    "safe_ratio", "decimal_ratio", "passes", "hash_bucket", "mod_bucket",
 ]

@@ -80,10 +80,6 @@ def decimal_ratio(num: ColumnOrName, den: ColumnOrName, scale: int = 2) -> Colum
     return F.round(_col(num) / F.nullif(_col(den), F.lit(0)), scale)
 
 
-def to_money(c: ColumnOrName) -> Column:
-    return _col(c).cast("decimal(18,2)")
-
-
 def month_int(d: ColumnOrName) -> Column:
     """yyyyMM as INT from a date or timestamp."""
     d = _col(d)

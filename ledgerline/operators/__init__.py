@@ -4,7 +4,7 @@ from ledgerline.operators.asof import asof_join
 from ledgerline.operators.conform import conform, conform_dimension, dedup_latest, multi_version
 from ledgerline.operators.history import (event_timeline, forward_fill, history_variation, scd2,
                                           scd2_overlaps)
-from ledgerline.operators.ingest import ingest_bronze
+from ledgerline.operators.ingest import ingest_bronze, ingest_check
 from ledgerline.operators.integrity import (assert_conserved, conservation, fk_profile, quarantine,
                                             quarantine_summary, row_counts, split_orphans,
                                             split_tagged, tag_first_failing)

@@ -123,7 +123,7 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
          effective: Mapping[str, Sequence[str]] | None = None,
          attribute_timing: str = "closes", open_end: dt.date | str | None = "9999-12-31",
          start_col: str = "valid_from", end_col: str = "valid_to",
-         passthrough: Sequence[str] = (), split_by: Column | None = None) -> DataFrame:
+         passthrough: Sequence[str] = (), split_by: Column | None = None, keep_empty: bool = False) -> DataFrame:
     """Half-open validity intervals ``[start, end)`` from an event timeline.
 
     ``attribute_timing="closes"`` (reference semantics): each event *ends* an
@@ -136,8 +136,8 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
     date is before the interval end (``CASE WHEN d < end THEN c END``), e.g.
     a termination date and its reason. ``start_default`` is read *unfilled*,
     as in the reference. Intervals with ``end <= start`` (two events on one
-    day, first event at its own start) are dropped. ``tiebreak`` orders
-    same-timestamp events deterministically.
+    day, first event at its own start) are dropped, unless ``keep_empty`` leaves
+    that to an expectation. ``tiebreak`` orders same-timestamp events deterministically.
 
     lag/lead and the fills share one window spec: one exchange by key and
     one sort. Output: key, filled columns, effective columns, passthrough,
@@ -185,7 +185,7 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
         eff_cols.extend(c for c in cols if c not in eff_cols)
     ordered = keys + [c for c in fill_cols if c not in keys] + eff_cols + \
         [c for c in passthrough if c not in eff_cols] + [ts, start_col, end_col]
-    return out.filter(F.col(end_col) > F.col(start_col)).select(*ordered)
+    return (out if keep_empty else out.filter(F.col(end_col) > F.col(start_col))).select(*ordered)
 
 
 def scd2_overlaps(intervals: DataFrame, key: Sequence[str] | str, start: str = "valid_from",

@@ -24,3 +24,22 @@ def ingest_bronze(df: DataFrame, ingested_at: dt.datetime | Column | None = None
     else:
         stamp = F.lit(ingested_at).cast("timestamp")
     return df.withColumn(column, stamp)
+
+
+def ingest_check(source: DataFrame, bronze: DataFrame, name: str) -> DataFrame:
+    """One row ``(table_name, source_rows, bronze_rows, same_content)``.
+
+    Each side is read on its own: its rows are counted and hashed over all
+    columns of the source (NULLs take part), and the hashes are summed, so a
+    lost, repeated or changed row shows whatever the order. One narrow pass
+    per side and a global aggregate; nothing is shuffled but partial sums.
+    """
+    def side(df: DataFrame, is_source: bool) -> DataFrame:
+        parts = [e for c in source.columns for e in (F.col(c), F.col(c).isNull())]
+        return df.select(F.lit(is_source).alias("s"), F.xxhash64(*parts).cast("decimal(38,0)").alias("h"))
+
+    both = side(source, True).unionByName(side(bronze, False)).agg(
+        F.count_if("s").alias("source_rows"), F.count_if(~F.col("s")).alias("bronze_rows"),
+        F.sum(F.when(F.col("s"), F.col("h"))).alias("a"), F.sum(F.when(~F.col("s"), F.col("h"))).alias("b"))
+    return both.select(F.lit(name).alias("table_name"), "source_rows", "bronze_rows",
+                       F.col("a").eqNullSafe(F.col("b")).alias("same_content"))

@@ -162,8 +162,24 @@ def assert_gate(panel: DataFrame, fail_on: str = "erro") -> None:
 
 
 def reconcile(left: DataFrame, right: DataFrame, left_measure: str, right_measure: str,
-              name: str = "reconciliation", tolerance: float = 0.01) -> DataFrame:
-    """Stand-alone reconciliation row ``(metric, value, severity)``."""
+              name: str = "reconciliation", tolerance: float = 0.01, by: Sequence[str] = ()) -> DataFrame:
+    """Stand-alone reconciliation row ``(metric, value, severity)``.
+
+    With ``by`` one row per group ``(*by, left_total, right_total, value, severity)``,
+    so errors that cancel out in the total are seen. A group that one side lacks
+    is ``erro``. Both sides are tagged, unioned and summed by one partially
+    aggregated group-by (one shuffle, no join).
+    """
+    if by:
+        amount = "decimal(38,2)"
+        none = F.lit(None).cast(amount)
+        rows = left.select(*by, F.col(left_measure).cast(amount).alias("l"), none.alias("r")).unionByName(
+            right.select(*by, none.alias("l"), F.col(right_measure).cast(amount).alias("r")))
+        sums = rows.groupBy(*by).agg(F.sum("l").cast(amount).alias("left_total"), F.sum("r").cast(amount).alias("right_total"))
+        gap = F.abs(F.coalesce("left_total", F.lit(0)) - F.coalesce("right_total", F.lit(0))).cast(amount)
+        agrees = F.col("left_total").isNotNull() & F.col("right_total").isNotNull() & (gap <= F.lit(tolerance))
+        return sums.select(*by, "left_total", "right_total", gap.alias("value"),
+                           F.when(agrees, F.lit("ok")).otherwise(F.lit("erro")).alias("severity"))
     return dq_panel({"__left": left, "__right": right}, [], [Reconciliation(
         name, "__left", F.sum(F.col(left_measure)), "__right", F.sum(F.col(right_measure)), tolerance)])
 
@@ -201,7 +217,8 @@ def expect(df: DataFrame, expectations: Mapping[str, tuple[Column, str]],
     metrics = one.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("expectation"), F.lit(action).alias("action"),
                  F.col(f"__p{i}").alias("n_passed"), (F.col("__n") - F.col(f"__p{i}")).alias("n_failed"))
-        for i, (name, (_, action)) in enumerate(expectations.items())])))
+        for i, (name, (_, action)) in enumerate(expectations.items())]).cast(
+            "array<struct<expectation:string,action:string,n_passed:bigint,n_failed:bigint>>")))
     kept = df
     for name, (pred, action) in expectations.items():
         if action == "drop":
@@ -219,7 +236,8 @@ def observed_expectations(obs: Observation, expectations: Mapping[str, tuple[Col
 
 
 # ---------------------------------------------------------------------- W25
-def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], dataset: str = "dataset") -> DataFrame:
+def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], dataset: str = "dataset",
+           values: Sequence[str] = ()) -> DataFrame:
     """Compare two builds of one dataset on its keys.
 
     One row ``(dataset, rows_a, rows_b, only_a, only_b)``: ``only_a`` counts
@@ -227,12 +245,15 @@ def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], dataset: str = "data
     NULL key never matches); a faithful twin has equal counts and zeros.
     Both key sets are tagged, unioned and counted per key with one
     partially aggregated group-by (one shuffle, hot keys combined map-side)
-    instead of two anti joins.
+    instead of two anti joins. With ``values``, ``n_differing`` counts the keys
+    of both builds whose hashed values (NULLs included) don't add up alike.
     """
     keys = list(keys)
-    tagged = a.select(*keys, F.lit(1).alias("__a"), F.lit(0).alias("__b")).unionByName(
-        b.select(*keys, F.lit(0).alias("__a"), F.lit(1).alias("__b")))
-    per_key = tagged.groupBy(*keys).agg(F.sum("__a").alias("__na"), F.sum("__b").alias("__nb"))
+    parts = [e for v in values for e in (F.col(v), F.col(v).isNull())]
+    held = F.xxhash64(*parts).cast("decimal(38,0)") if values else F.lit(0).cast("decimal(38,0)")
+    tagged = a.select(*keys, F.lit(1).alias("__a"), F.lit(0).alias("__b"), held.alias("__h")).unionByName(
+        b.select(*keys, F.lit(0).alias("__a"), F.lit(1).alias("__b"), (-held).cast("decimal(38,0)").alias("__h")))
+    per_key = tagged.groupBy(*keys).agg(F.sum("__a").alias("__na"), F.sum("__b").alias("__nb"), F.sum("__h").alias("__gap"))
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
@@ -241,4 +262,5 @@ def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], dataset: str = "data
         z(F.sum("__na")).alias("rows_a"), z(F.sum("__nb")).alias("rows_b"),
         z(F.sum(F.when((F.col("__nb") == 0) | null_key, F.col("__na")))).alias("only_a"),
         z(F.sum(F.when((F.col("__na") == 0) | null_key, F.col("__nb")))).alias("only_b"),
-    ).select(F.lit(dataset).alias("dataset"), "rows_a", "rows_b", "only_a", "only_b")
+        F.count_if((F.col("__na") > 0) & (F.col("__nb") > 0) & ~null_key & (F.col("__gap") != 0)).alias("n_differing"),
+    ).select(F.lit(dataset).alias("dataset"), "rows_a", "rows_b", "only_a", "only_b", *(["n_differing"] if values else []))

@@ -3,9 +3,8 @@
 landing (derived from driver tables) -> bronze -> silver (conformed dims,
 deduplicated fact, quarantine, SCD2 intervals) -> gold (provider x month)
 -> quality panel -> variance analysis. Every attribute is a lazy
-DataFrame; nothing runs until an action or a write. Layers that several
-consumers read (the deduplicated fact, the gold table) can be materialized
-to the shared checkpoint folder with :meth:`ClaimsPipeline.materialized`.
+DataFrame over its upstream layers; the first access to a layer table of
+:data:`LAYER_TABLES` writes it (and what it reads) to the shared folder.
 """
 
 from __future__ import annotations
@@ -16,10 +15,10 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import decode, month_start, passes, quarter_int
+from ledgerline.functions.columns import decode, month_start, quarter_int
 from ledgerline.operators import (
-    Metric, Reconciliation, asof_join, conform, dedup_latest, dq_panel, event_timeline,
-    ingest_bronze, key_uniqueness, peer_index, ratio_measures, rollup_grain, scd2,
+    Metric, Reconciliation, asof_join, conform, conform_dimension, dedup_latest, dq_panel, event_timeline,
+    ingest_bronze, peer_index, ratio_measures, rollup_grain, scd2,
     split_orphans, split_tagged, surrogate_key, tag_first_failing,
 )
 from ledgerline.plans import claims_model as cm
@@ -74,7 +73,8 @@ def _gt0(v: Column, hit: str) -> Column:
 # module) and reused by downstream modules of the same application.
 LAYER_TABLES = frozenset({
     "landing_facility", "landing_provider", "landing_audit", "landing_member", "landing_procedure",
-    "landing_claims", "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
+    "landing_claims", "bronze_facility", "bronze_provider", "bronze_audit", "bronze_member", "bronze_procedure",
+    "bronze_claims", "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
     "latest_claims", "claims_checked", "intervals", "gold",
 })
 _LAYER_STORE: dict[tuple, str] = {}
@@ -108,6 +108,8 @@ class ClaimsPipeline:
     itself (from the stored upstream layers) rather than read.
     """
 
+    layers = LAYER_TABLES
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = cm.AS_OF,
                  deleted: str = "before_dedup", reuse_layers: bool = True, fresh: tuple[str, ...] = (),
                  gold_base: str = "write"):
@@ -128,11 +130,12 @@ class ClaimsPipeline:
     def _layer_key(self, name: str) -> tuple:
         if self._fingerprint is None:       # one listing of the input folder per pipeline
             self._fingerprint = _input_fingerprint(self.spark, self.sf_dir)
-        return (application_id(self.spark), self._fingerprint, self.as_of, self.deleted, name)
+        own = () if name.startswith(("landing_", "bronze_")) else (self.as_of, self.deleted)
+        return (application_id(self.spark), self._fingerprint, *own, name)
 
     def _get(self, name: str, build):
         if name not in self._overrides:
-            if self.reuse_layers and name in LAYER_TABLES and name not in self.fresh:
+            if self.reuse_layers and name in self.layers and name not in self.fresh:
                 key = self._layer_key(name)
                 path = _LAYER_STORE.get(key)
                 if path is None:
@@ -145,13 +148,6 @@ class ClaimsPipeline:
                 self._overrides[name] = build()
         return self._overrides[name]
 
-    def materialized(self, *names: str) -> "ClaimsPipeline":
-        """Write the named layers to the shared checkpoint folder and reuse the
-        written copy from then on (cuts lineage; survives lost executors)."""
-        for n in names:
-            self._overrides[n] = materialize(getattr(self, n), n)
-        return self
-
     # ------------------------------------------------------------- landing
     @property
     def landing(self) -> dict[str, DataFrame]:
@@ -187,34 +183,38 @@ class ClaimsPipeline:
             self.table("lineitem"), self.table("orders"), self.table("supplier")))
 
     # -------------------------------------------------------------- bronze
-    def bronze(self, name: str, ingested_at=None) -> DataFrame:
-        return ingest_bronze(self.landing[name], ingested_at)
+    def bronze(self, name: str) -> DataFrame:
+        """The stored faithful copy of a landing table; silver reads this one."""
+        return self._get(f"bronze_{name}", lambda: ingest_bronze(getattr(self, f"landing_{name}")))
 
     # -------------------------------------------------------------- silver
     @property
     def facility_clean(self) -> DataFrame:
         return self._get("facility_clean", lambda: dedup_latest(
-            conform(self.landing_facility, FACILITY_TYPES, keep=["deleted", "load_date"]),
+            conform(self.bronze("facility"), FACILITY_TYPES, keep=["deleted", "load_date"]),
             ["facility_id"], "load_date", tiebreak=list(FACILITY_TYPES)[1:], deleted_flag="deleted",
             deleted=self.deleted, drop=["deleted", "load_date"]))
 
     @property
     def provider_clean(self) -> DataFrame:
         return self._get("provider_clean", lambda: dedup_latest(
-            conform(self.landing_provider, PROVIDER_TYPES, keep=["deleted", "load_date"]),
+            conform(self.bronze("provider"), PROVIDER_TYPES, keep=["deleted", "load_date"]),
             ["provider_id"], "load_date", tiebreak=list(PROVIDER_TYPES)[1:], deleted_flag="deleted",
             deleted=self.deleted, drop=["deleted", "load_date"]))
 
     @property
     def dim_provider(self) -> DataFrame:
-        """Conformed provider x facility, specialty label decoded once."""
-        def build():
-            d = self.provider_clean.join(self.facility_clean, on="facility_id", how="inner")
-            return d.withColumn("specialty_name", decode("specialty", cm.SPECIALTY_NAMES, cm.UNKNOWN_LABEL)).select(
-                "provider_id", "provider_name", "status", "specialty", "specialty_name", "provider_type", "unit",
-                "credential_date", "termination_date", "termination_reason", "capacity",
-                "facility_id", "facility_name", "facility_code", "region_id", "region_name")
-        return self._get("dim_provider", build)
+        """Conformed provider x facility, code labels decoded once."""
+        return self._get("dim_provider", lambda: self._provider_facility("inner"))
+
+    def _provider_facility(self, how: str) -> DataFrame:
+        return conform_dimension(
+            self.provider_clean, self.facility_clean, "facility_id", how=how,
+            decode_cols={"specialty_name": ("specialty", cm.SPECIALTY_NAMES, cm.UNKNOWN_LABEL),
+                         "unit_name": ("unit", cm.SERVICE_TYPE_NAMES, cm.UNKNOWN_LABEL)},
+            select=["provider_id", "provider_name", "status", "specialty", "specialty_name", "provider_type", "unit",
+                    "unit_name", "credential_date", "termination_date", "termination_reason", "capacity",
+                    "facility_id", "facility_name", "facility_code", "region_id", "region_name"])
 
     @property
     def orphan_providers(self) -> DataFrame:
@@ -229,20 +229,26 @@ class ClaimsPipeline:
 
     @property
     def dim_member(self) -> DataFrame:
-        def build():
-            m = dedup_latest(conform(self.landing_member, MEMBER_TYPES, keep=["deleted", "load_date"]),
-                             ["member_id"], "load_date", tiebreak=list(MEMBER_TYPES)[1:],
-                             deleted_flag="deleted", deleted=self.deleted, drop=["deleted", "load_date"])
-            nat = self.facility_clean.select(F.col("facility_id").alias("nation_id"),
+        return self._get("dim_member", lambda: self._member_nation("inner"))
+
+    @property
+    def member_clean(self) -> DataFrame:
+        return self._get("member_clean", lambda: dedup_latest(conform(self.bronze("member"), MEMBER_TYPES, keep=["deleted", "load_date"]),
+            ["member_id"], "load_date", tiebreak=list(MEMBER_TYPES)[1:],
+            deleted_flag="deleted", deleted=self.deleted, drop=["deleted", "load_date"]))
+
+    def _member_nation(self, how: str) -> DataFrame:
+        nations = self.facility_clean.select(F.col("facility_id").alias("nation_id"),
                                              F.col("facility_name").alias("nation_name"), "region_name")
-            return m.join(nat, on="nation_id", how="inner").select(
-                "member_id", "member_name", "segment", "age_band", "nation_id", "nation_name", "region_name")
-        return self._get("dim_member", build)
+        return conform_dimension(
+            self.member_clean, nations, "nation_id", how=how,
+            decode_cols={"plan_name": ("segment", cm.PLAN_SEGMENT_NAMES, cm.UNKNOWN_LABEL)},
+            select=["member_id", "member_name", "segment", "plan_name", "age_band", "nation_id", "nation_name", "region_name"])
 
     @property
     def dim_procedure(self) -> DataFrame:
         return self._get("dim_procedure", lambda: dedup_latest(
-            conform(self.landing_procedure, PROCEDURE_TYPES, keep=["deleted", "load_date"]),
+            conform(self.bronze("procedure"), PROCEDURE_TYPES, keep=["deleted", "load_date"]),
             ["procedure_id"], "load_date", tiebreak=list(PROCEDURE_TYPES)[1:], deleted_flag="deleted",
             deleted=self.deleted, drop=["deleted", "load_date"]))
 
@@ -250,14 +256,14 @@ class ClaimsPipeline:
     def conformed_claims(self) -> DataFrame:
         """Delete filter on the raw flag, then the typing layer."""
         return self._get("conformed_claims", lambda: conform(
-            self.landing_claims, CLAIM_TYPES, deleted_flag="deleted", keep=["load_date"], rename=CLAIM_RENAME))
+            self.bronze("claims"), CLAIM_TYPES, deleted_flag="deleted", keep=["load_date"], rename=CLAIM_RENAME))
 
     @property
     def latest_claims(self) -> DataFrame:
         """One version per claim, newest load first, full tiebreak."""
         def build():
             if self.deleted == "after_dedup":
-                typed = conform(self.landing_claims, CLAIM_TYPES, keep=["load_date", "deleted"], rename=CLAIM_RENAME)
+                typed = conform(self.bronze("claims"), CLAIM_TYPES, keep=["load_date", "deleted"], rename=CLAIM_RENAME)
                 return dedup_latest(typed, CLAIM_KEY, "load_date", CLAIM_TIEBREAK, deleted_flag="deleted",
                                     deleted="after_dedup", drop=["load_date", "deleted"])
             return dedup_latest(self.conformed_claims, CLAIM_KEY, "load_date", CLAIM_TIEBREAK, drop=["load_date"])
@@ -320,28 +326,28 @@ class ClaimsPipeline:
         return self._get("rejected_claims", lambda: self._split[1])
 
     # --------------------------------------------------------------- SCD2
-    @property
-    def audit_clean(self) -> DataFrame:
-        return self.landing_audit
-
     @property
     def event_timeline(self) -> DataFrame:
         """Audit (not reversed AND some attribute set) + current state at as_of."""
-        def build():
-            cur = self.dim_provider.withColumn("event_seq", F.lit(cm.CURRENT_EVENT_SEQ).cast("long"))
-            return event_timeline(self.landing_audit, cur, ts="audit_date",
-                                  columns=AUDIT_COLS + ["event_seq"], any_of=ANY_OF,
-                                  as_of=self.as_of, deleted_flag="deleted")
-        return self._get("event_timeline", build)
+        return self._get("event_timeline", self._timeline)
+
+    def _timeline(self) -> DataFrame:
+        cur = self.dim_provider.withColumn("event_seq", F.lit(cm.CURRENT_EVENT_SEQ).cast("long"))
+        return event_timeline(self.bronze("audit"), cur, ts="audit_date",
+                              columns=AUDIT_COLS + ["event_seq"], any_of=ANY_OF,
+                              as_of=self.as_of, deleted_flag="deleted")
 
     @property
     def intervals(self) -> DataFrame:
         """SCD2 intervals, "closes" timing, forward-filled attributes."""
+        return self._get("intervals", self._scd2)
+
+    def _scd2(self, keep_empty: bool = False) -> DataFrame:
         # bucketed by month: a provider with a very long audit trail is spread over its months
-        return self._get("intervals", lambda: scd2(
+        return scd2(
             self.event_timeline, "provider_id", "audit_date", FILL_COLS, start_default="credential_date",
             tiebreak=["event_seq"], effective={"termination_date": ["termination_date", "termination_reason"]},
-            split_by=F.trunc("audit_date", "month")))
+            split_by=F.trunc("audit_date", "month"), keep_empty=keep_empty)
 
     # --------------------------------------------------------------- gold
     def grain_measures(self) -> dict[str, Column]:
@@ -392,10 +398,11 @@ class ClaimsPipeline:
     @property
     def gold(self) -> DataFrame:
         """Provider x month gold with measures, peer index, flag and SK."""
-        def build():
-            g = self.gold_at(self.asof_gold, "month")
-            return surrogate_key(g.select(*GOLD_COLS), ["provider_id", "month"], "sk")
-        return self._get("gold", build)
+        return self._get("gold", self._gold)
+
+    def _gold(self) -> DataFrame:
+        g = self.gold_at(self.asof_gold, "month")
+        return surrogate_key(g.select(*GOLD_COLS), ["provider_id", "month"], "sk")
 
     def gold_quarter(self) -> DataFrame:
         """The same operators at provider x quarter grain (planted-signal check)."""
@@ -442,10 +449,6 @@ class ClaimsPipeline:
         return dq_panel({"dim": self.dim_provider, "checked": self.claims_checked, "gold": self.gold,
                          "orphans": self.orphan_providers}, metrics, recon)
 
-    def gold_key_check(self) -> DataFrame:
-        """Surrogate-key uniqueness counters."""
-        return key_uniqueness(self.gold, "sk")
-
     # --------------------------------------------------- period predicates
     @staticmethod
     def base_period(col: str = "month") -> Column:
@@ -454,30 +457,3 @@ class ClaimsPipeline:
     @staticmethod
     def recent_period(col: str = "month") -> Column:
         return F.col(col) >= F.lit(cm.SIGNAL_FROM_MONTH)
-
-    # ----------------------------------------------------- declarative twin
-    def declarative_claims(self) -> tuple[DataFrame, DataFrame]:
-        """The fact rebuilt declaratively: inner star join, facility nulled
-        when it disagrees with the provider's, then drop/warn expectations."""
-        from ledgerline.operators import expect
-        c = F.col
-        p = self.dim_provider.select(F.col("provider_id"), F.col("facility_id").alias("__p_facility"))
-        pr = self.dim_procedure.select("procedure_id", "group_code", "group_name", "high_complexity")
-        m = self.dim_member.select("member_id")
-        f = (self.latest_claims.join(p, "provider_id").join(m, "member_id").join(pr, "procedure_id")
-             .withColumn("facility_id", F.when(c("facility_id") == c("__p_facility"), c("facility_id")))
-             .drop("__p_facility"))
-        return expect(f, {
-            "presented_not_before_service": (c("presented_date") >= c("service_date"), "drop"),
-            "paid_not_negative": (c("paid") >= 0, "drop"),
-            "paid_up_to_billed": (c("paid") <= c("billed"), "drop"),
-            "facility_consistent": (c("facility_id").isNotNull(), "drop"),
-            "has_authorization": (c("auth_no").isNotNull(), "warn"),
-        })
-
-
-def passes_all(preds: list[Column]) -> Column:
-    out = F.lit(True)
-    for p in preds:
-        out = out & passes(p)
-    return out

@@ -1,6 +1,6 @@
 """Sources and sinks: parquet table scans and idempotent overwrite writes."""
 
-from ledgerline.sources.tables import (literal_rows, materialize, read_table, read_tables,
+from ledgerline.sources.tables import (materialize, read_table,
                                        write_table)
 
-__all__ = ["read_table", "read_tables", "write_table", "materialize", "literal_rows"]
+__all__ = ["read_table", "write_table", "materialize"]

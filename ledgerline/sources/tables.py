@@ -1,4 +1,4 @@
-"""Table scans (S1), inline relations (S5) and overwrite sinks.
+"""Table scans (S1) and overwrite sinks.
 
 Scans go through ``spark.read.parquet`` so Catalyst prunes columns and pushes
 filters into the Parquet reader; nothing here reads data on the driver.
@@ -8,16 +8,12 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.session import checkpoint_dir
 
-DRIVER_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-)
-
 
 def read_table(spark: SparkSession, base_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
@@ -26,16 +22,6 @@ def read_table(spark: SparkSession, base_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def read_tables(spark: SparkSession, base_dir: str,
-                names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
-    return {n: read_table(spark, base_dir, n) for n in names}
-
-
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Inline literal relation (``FROM VALUES``) for small fixed inputs."""
-    return spark.createDataFrame(rows, schema)
-
-
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                 fmt: str = "parquet") -> None:
     """Idempotent full replace (``CREATE OR REPLACE TABLE ... AS``).

@@ -9,10 +9,18 @@ point where it falls back to nothing, and the lines between them are kept. On
 a page that marks its article (article, main, or their roles) only the lines
 inside it have a length, and any text there is a surge.
 
+An element that would be left out is kept if it is or encloses the main part, or
+the page's articles (for forms any article; for others if no article stands
+outside such elements, so reader comments in articles of their own go), or if it
+holds more than half of the page's text outside links (marked by class or a
+form; not comments, and not nav, aside, footer, header). Such pages are read
+twice. Class words count as a whole; headings, and ids of sections inside an
+article, mark nothing.
+
 Defined results: NULL and empty pages and pages without content give the empty
 string; malformed markup (elements never closed, stray end tags, a page that
 breaks off) is read as far as it goes; tables and lists inside the content are
-kept; very long pages are read once from front to back; repeated rows and extra
+kept; very long pages are read from front to back, twice at most; repeated rows and extra
 columns pass through.
 """
 
@@ -21,6 +29,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,17 +50,28 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dd
 OWN_KIND = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
             "th": ("tr", "table"), "option": ("select",)}
 
-# Words of class, id and role that mark an element as something else than content.
-MARKS = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertis\w*|adsense|adslot|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|"
-    r"sidebar\w*|aside|widget\w*|comments?|comment-?list|respond|disqus\w*|replies|nav|navbar|navigation|navi|menu\w*|"
+# Names that can be wrapped around content by mistake; a form is often a whole page.
+WRAPS = frozenset("nav aside footer header form menu dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+# A word of class, id or role marks an element as something else than content if all its
+# hyphen parts are marks or mere places (related-posts; not related-work, has-sidebar).
+MARK = re.compile(
+    r"ads?|adverts?|advertis\w*|adsense|adslot|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|"
+    r"sidebar\w*|aside|widget\w*|comments?|commentlist|respond|disqus\w*|replies|nav|navbar|navigation|navi|menu\w*|"
     r"breadcrumbs?|footer|foot|masthead|topbar|toolbar|share|sharing|social\w*|related|recommended|newsletter|"
     r"subscribe|subscription|signup|popup|modal|overlay|pagination|pager|login|search|searchbox|complementary|"
-    r"contentinfo|form|skip-?link)(?![a-z])")
-HEADER_MARK = re.compile(r"(?<![a-z])(?:site-?header|page-?header|header|banner)(?![a-z])")
+    r"contentinfo|form|skiplink")
+PLACE = re.compile(
+    r"\d*|site|page|main|global|primary|secondary|top|bottom|left|right|header|head|body|inner|outer|box|block|bar|list|"
+    r"area|zone|wrap|wrapper|container|holder|section|panel|group|row|col|column|item|items|unit|slot|space|link|links|"
+    r"button|buttons|btn|btns|icon|icons|message|text|title|post|posts|article|articles|story|stories|us|this|skip|thread")
+COMMENTS = re.compile(r"comments?|commentlist|respond|disqus\w*|replies")
+HEADER_MARKS = frozenset(("site-header", "siteheader", "page-header", "pageheader", "header", "banner"))
 MAIN_MARK = re.compile(r"""\brole\s*=\s*["']?(?:main|article)\b""", re.I)
+MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-ATTR = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>|"
@@ -59,17 +79,55 @@ TOKEN = re.compile(
     r"<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S)
 
 
+@lru_cache(maxsize=65536)
+def marked(word: str) -> tuple[bool, bool]:
+    """Whether a word of class, id or role marks other things than content, and whether these are comments."""
+    parts = word.split("-")
+    if not any(map(MARK.fullmatch, parts)) or not all(MARK.fullmatch(x) or PLACE.fullmatch(x) for x in parts):
+        return False, False
+    return True, any(map(COMMENTS.fullmatch, parts))
+
+
+class Wrapper:
+    """An element to leave out: where it began in the counts of the page, and at its end what it holds."""
+
+    def __init__(self, page: Page, name: str, by_name: bool, comments: bool):
+        self.name, self.fixed, self.in_main = name, (by_name and name != "form") or comments, page.mains_open > 0
+        self.chars, self.articles, self.mains = -page.seen, -page.articles, -page.mains
+
+    def end(self, page: Page) -> None:
+        self.chars, self.articles, self.mains = self.chars + page.seen, self.articles + page.articles, self.mains + page.mains
+
+    def spared(self, page: Page) -> bool:
+        """Whether leaving it out would take the page's article, its main part or most of its text."""
+        if self.mains or self.articles and self.name == "form":
+            return True
+        if self.articles and not page.free and (self.in_main or not page.mains):
+            return True
+        return not self.fixed and 2 * self.chars > page.seen
+
+
 class Page:
-    """Lines of one page: text, characters outside links, and inside an article or not."""
+    """Lines of one page: text, characters outside links, and inside an article or not.
+
+    Elements numbered in ``spared`` (in the order of their start tags) are not left out.
+    """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, spared: frozenset[int] = frozenset()):
+        self.spare = spared
+        self.opened = self.hard = self.seen = 0             # start tags, open elements that never hold content, text outside them
+        self.articles = self.mains = self.free = 0          # articles not inside another, main parts, articles in no wrapper
+        self.articles_open = self.mains_open = self.wrapped = 0
+        self.wrappers: dict[int, Wrapper] = {}
         self.lines: list[tuple[str, int, bool]] = []
-        self.stack: list[tuple[str, bool, bool]] = []   # name, left out, article
+        self.stack: list[tuple[str, bool, bool, int, bool]] = []   # name, left out, article, number, never content
         self.out = self.inside = self.links = 0
         self.text: list[str] = []
         self.plain = 0
         self._read(source)
         self._flush()
+        for w in [self.wrappers[n] for _, _, _, n, _ in self.stack if n in self.wrappers]:  # never closed
+            w.end(self)
 
     def _flush(self) -> None:
         line = " ".join("".join(self.text).split())
@@ -82,28 +140,36 @@ class Page:
         self.lines.extend([("", 0, False)] * WINDOW)
 
     def _add(self, raw: str, decode: bool = True) -> None:
-        if raw and not self.out:
+        if raw and not self.hard:
             text = html.unescape(raw) if decode and "&" in raw else raw
-            self.text.append(text)
-            if not self.links:
-                self.plain += sum(map(len, text.split()))
+            chars = 0 if self.links else sum(map(len, text.split()))
+            self.seen += chars
+            if not self.out:
+                self.text.append(text)
+                self.plain += chars
 
-    def _left_out(self, name: str, attrs: str) -> bool:
+    def _left_out(self, name: str, attrs: str) -> tuple[bool, bool, bool]:
+        """Whether an element is left out, whether for its name, and whether it holds comments."""
         if name in NEVER:
-            return True
+            return True, True, False
         if name in ("html", "body", "main"):
-            return False
+            return False, False, False
         if name == "header" and not self.inside:
-            return True
+            return True, True, False
         if not attrs:
-            return False
-        marks = " ".join(a or b or c for a, b, c in ATTR.findall(attrs)).lower().replace("_", "-")
-        if marks and (MARKS.search(marks) or (not self.inside and HEADER_MARK.search(marks))):
-            return True
-        return bool(HIDDEN.search(attrs))
+            return False, False, False
+        found = comments = False
+        for kind, a, b, c in ATTR.findall(attrs) if name not in HEADINGS else ():
+            if kind.lower() == "id" and name == "section" and self.inside:
+                continue  # the name of a section of the text
+            for word in (a or b or c).lower().replace("_", "-").split():
+                mark, comment = marked(word)
+                found = found or mark or (not self.inside and word in HEADER_MARKS)
+                comments = comments or comment
+        return found or bool(HIDDEN.search(attrs)), False, comments
 
     def _open(self, name: str, attrs: str) -> None:
-        if name in CLOSES_P and any(n == "p" for n, _, _ in self.stack):
+        if name in CLOSES_P and any(x[0] == "p" for x in self.stack):
             self._close("p", ("table", "td", "th", "button", "object"))
         if name in OWN_KIND:
             self._close(name, OWN_KIND[name])
@@ -111,15 +177,35 @@ class Page:
             self._flush()
         if name in VOID or attrs.endswith("/") and name in ("svg", "path"):
             return
-        left = self._left_out(name, attrs)
-        article = not left and (name in ("article", "main") or bool(attrs and MAIN_MARK.search(attrs)))
+        number = self.opened
+        self.opened += 1
+        left, by_name, comments = self._left_out(name, attrs)
+        left = left and number not in self.spare
+        hard = left and name in NEVER and name not in WRAPS
+        if left and not hard and not self.hard:
+            self.wrappers[number] = Wrapper(self, name, by_name, comments)
+            self.wrapped += 1
+        content = name in ("article", "main") or bool(attrs and MAIN_MARK.search(attrs))
+        if content and not self.hard:
+            self._count(name, attrs)
+        article = not left and content
         if (left or article) and not self.out:
             self._gap()
-        self.stack.append((name, left, article))
+        self.stack.append((name, left, article, number, hard))
         self.out += left
+        self.hard += hard
         self.inside += article
+        self.articles_open += name == "article"
+        self.mains_open += name == "main"
         self.links += name == "a"
 
+    def _count(self, name: str, attrs: str) -> None:
+        if name == "main" or MAIN_ROLE.search(attrs):
+            self.mains += 1
+        elif not self.articles_open:
+            self.articles += 1
+            self.free += not self.wrapped
+
     def _close(self, name: str, walls: tuple[str, ...] = ()) -> None:
         """Close the innermost open ``name`` and all inside it, unless a wall stands between."""
         for i in range(len(self.stack) - 1, -1, -1):
@@ -132,11 +218,17 @@ class Page:
         if not self.out and (name not in INLINE):
             self._flush()
         while len(self.stack) > i:
-            closed, left, article = self.stack.pop()
+            closed, left, article, number, hard = self.stack.pop()
             if (left or article) and not self.out - left:
                 self._gap()
             self.out -= left
             self.inside -= article
+            if number in self.wrappers:
+                self.wrappers[number].end(self)
+                self.wrapped -= 1
+            self.hard -= hard
+            self.articles_open -= closed == "article"
+            self.mains_open -= closed == "main"
             self.links -= closed == "a"
 
     def _read(self, source: str) -> None:
@@ -191,7 +283,9 @@ def main_text(source: str | None) -> str:
     """The main text of a page, blocks joined by one space."""
     if not source:
         return ""
-    lines = Page(source).lines
+    page = Page(source)
+    spared = frozenset(n for n, w in page.wrappers.items() if w.spared(page))
+    lines = (Page(source, spared) if spared else page).lines
     if any(inside and text for text, _, inside in lines):
         lengths = [len(text) if inside else 0 for text, _, inside in lines]
         keep = regions(lengths, 1)

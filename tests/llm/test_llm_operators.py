@@ -299,6 +299,30 @@ def test_main_text_without_article():
     assert extraction.main_text("<p>" * 20_000 + "deep") == "deep"
 
 
+LONG = "A long paragraph with enough words to be the main text of this page, and then some more of it."
+
+
+@pytest.mark.parametrize("wrap", [
+    "div class='has-sidebar'", "div class='layout no-sidebar'", "div class='content with-sidebar'", "div class='search-results'",
+    "div class='elementor-widget-theme-post-content'", "form id='aspnetForm'", "div class='sidebar'", "div style='display:none'",
+    "nav", "div class='widget social'", "div class='comments'"])
+@pytest.mark.parametrize("tag", ["article", "article class='post comments-open'", "article class='post hentry category-social'", "main", "div role=main"])
+def test_main_text_keeps_wrapped_articles(wrap, tag):
+    name = tag.split()[0]
+    inner = f"<{tag}><h2 id='social-history'>Head</h2><section id='related-work'><p>{LONG}</p></section><div class='related-posts'>More</div></{name}>"
+    assert extraction.main_text(f"<body><div class='menu'>M</div><{wrap}>{inner}</{wrap.split()[0]}><footer>(c)</footer>") == f"Head {LONG}"
+
+
+def test_main_text_keeps_most_of_the_text():
+    for wrap in ("form id='aspnetForm'", "div class='widget'"):
+        name = wrap.split()[0]
+        assert extraction.main_text(f"<{wrap}><p>{LONG}</p><p>{LONG}</p></{name}><div class='ad'>Buy</div>") == f"{LONG} {LONG}"
+        assert extraction.main_text(f"<main><{wrap}><p>{LONG}</p></{name}></main><p>x</p>") == LONG
+    story = f"<article><p>{LONG}</p></article>"
+    comments = f"<section class='comments'><article><p>{LONG} {LONG}</p></article></section>"
+    assert extraction.main_text(story + comments) == extraction.main_text(f"<main>{story}{comments}</main>") == LONG
+
+
 def test_block_sums_and_regions():
     assert extraction.block_sums([1, 2, 3, 4], 3) == [6, 9, 7, 4]
     assert extraction.regions([0, 0, 50, 40, 0, 0, 0, 5], 60) == [(0, 4)]

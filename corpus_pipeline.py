@@ -16,6 +16,8 @@ from ledgerline.llm import minhash, mixing, packing, quality, tokens
 from ledgerline.session import checkpoint_dir
 from ledgerline.sources.tables import read_table
 
+NEAR_PERCENT = 80   # op8 links at 85, by its contract
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the outlier test reject go."""
@@ -23,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    dropped = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    """Of each group of near copies (likeness 0.8 or more) the document with the smallest doc_id stays."""
+    dropped = minhash.near_duplicates(docs, percent=NEAR_PERCENT, bands=minhash.BANDS_80).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 

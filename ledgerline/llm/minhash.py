@@ -37,6 +37,7 @@ from ledgerline.sources.tables import materialize
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5          # likeness 0.85 misses all bands with probability under 1e-6
+BANDS_80 = 36                # of ROWS coordinates: the same for likeness 0.8
 GROUP_SHINGLES = 400_000     # shingles sketched at once by one worker
 LINK_PERCENT = 85
 HUB_GROWTH = 16
@@ -101,11 +102,11 @@ def band_keys(filled: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nd
     return keys
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch_batches(batches: Iterator[pa.RecordBatch], bands: int = BANDS, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     from xxhash import xxh3_128_digest
 
     def emit(ids, sets, digests):
-        keys = band_keys(sketches([s for s in sets if len(s)]))
+        keys = band_keys(sketches([s for s in sets if len(s)], bands * rows), bands, rows)
         full = iter(keys.astype(np.int64, copy=False).tolist())
         return pa.RecordBatch.from_arrays([
             pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
@@ -160,14 +161,14 @@ def connected(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def _open(members: DataFrame) -> DataFrame:
+def _open(members: DataFrame, percent: int) -> DataFrame:
     """Members of buckets in which two components could still be joined.
 
     ``reach`` is the share of a set's shingles that any other set holds. Sets A
     and B have a likeness of 1 / (1 / reach(A) + 1 / reach(B) - 1) at most, so a
     member goes where it falls short even with the bucket's widest reach.
     """
-    most = F.lit(1 + 100 / LINK_PERCENT + 1e-9)
+    most = F.lit(1 + 100 / percent + 1e-9)
     widest = members.groupBy("key").agg(F.max("reach").alias("widest"))
     left = members.join(widest, "key").where((F.col("reach") > 0) & (1 / F.col("reach") + 1 / F.col("widest") <= most)).drop("widest")
     return materialize(_mixed(materialize(left, "reached")), "members")
@@ -190,7 +191,7 @@ def _with_reach(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFra
     return reached, sets
 
 
-def _pairs(members: DataFrame, hubs: int, turn: int) -> tuple[DataFrame, DataFrame]:
+def _pairs(members: DataFrame, hubs: int, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Members against the hubs of their bucket, and the hubs chosen.
 
     After the first round two members that share several buckets meet in the
@@ -209,7 +210,7 @@ def _pairs(members: DataFrame, hubs: int, turn: int) -> tuple[DataFrame, DataFra
                            F.col("h.reach").alias("hub_reach"), F.col("h.label").alias("hub_label"), F.col("h.keys").alias("hub_keys"))
     # the most shingles that the two can share, by size and by what others hold of them
     both = F.least(F.col("n") * F.col("reach"), F.col("hub_n") * F.col("hub_reach")) + 1e-6
-    possible = 100 * both >= LINK_PERCENT * (F.col("n") + F.col("hub_n") - both)
+    possible = 100 * both >= percent * (F.col("n") + F.col("hub_n") - both)
     here = F.col("key") == F.array_min(F.array_intersect("keys", "hub_keys"))
     met = members.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & possible & here)
     # two hubs meet twice, once from either side: the smaller id is named first, and one pair is left
@@ -221,14 +222,19 @@ def _pairs(members: DataFrame, hubs: int, turn: int) -> tuple[DataFrame, DataFra
     return pairs, chosen.select("key", F.col("hub").alias("id"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT,
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Sets whose likeness is at least ``percent`` are linked; a pair at that
+    likeness misses all bands with probability (1 - (percent / 100) ** rows) ** bands.
+    """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketched = materialize(source.mapInArrow(
-        _sketch_batches, "doc_id long, n_shingles long, words_key binary, bands array<bigint>"), "sketches")
+        lambda batches: _sketch_batches(batches, bands, rows), "doc_id long, n_shingles long, words_key binary, bands array<bigint>"), "sketches")
     named = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
     first = named.groupBy("words_key").agg(F.min("doc_id").alias("rep"))
-    labels = _link(source, named.join(first, "words_key").where("doc_id = rep"))
+    labels = _link(source, named.join(first, "words_key").where("doc_id = rep"), percent)
     joined = (sketched.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("words_key")).alias("words_key"))
               .join(first, "words_key", "left"))
     labelled = joined.join(labels, joined["rep"] == labels["node"], "left")
@@ -237,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", ~known | (F.col("doc_id") == F.col("component_id"))))
 
 
-def _link(source: DataFrame, reps: DataFrame) -> DataFrame:
+def _link(source: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(node, label) of the representatives that are linked with another one."""
     thrown = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = thrown.groupBy("key").agg(F.count("*").alias("company")).where("company > 1")
@@ -250,16 +256,16 @@ def _link(source: DataFrame, reps: DataFrame) -> DataFrame:
     edges = None
     labels = members.select(F.col("id").alias("node"), F.col("id").alias("label")).where("false")
     members, sets = _with_reach(members, sets)
-    members = _open(members)
+    members = _open(members, percent)
     hubs, turn = 1, 0
     while members.take(1):
-        pairs, used = _pairs(members, hubs, turn)
+        pairs, used = _pairs(members, hubs, turn, percent)
         mine = sets.select("id", "shingles")
         theirs = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hub_shingles"))
         shared = F.size(F.array_intersect("shingles", "hub_shingles"))
         found = materialize(
             pairs.join(mine, "id").join(theirs, "hub").withColumn("shared", shared)
-            .where(100 * F.col("shared") >= LINK_PERCENT * (F.col("n") + F.col("hub_n") - F.col("shared")))
+            .where(100 * F.col("shared") >= percent * (F.col("n") + F.col("hub_n") - F.col("shared")))
             .select(F.col("label").alias("a"), F.col("hub_label").alias("b")).distinct(), "links")
         members = members.join(used, ["key", "id"], "left_anti")
         if found.take(1):
@@ -268,6 +274,6 @@ def _link(source: DataFrame, reps: DataFrame) -> DataFrame:
             members = (members.drop("label").join(labels, members["id"] == labels["node"], "left")
                        .withColumn("label", F.coalesce("label", "id")).drop("node"))
         members, sets = _with_reach(materialize(_mixed(members), "members"), sets)
-        members = _open(members)
+        members = _open(members, percent)
         hubs, turn = hubs * HUB_GROWTH, turn + 1
     return labels

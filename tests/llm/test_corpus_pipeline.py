@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from ledgerline.llm import quality  # noqa: E402
+from ledgerline.llm import minhash, quality  # noqa: E402
 from test_llm_operators import documents, ids_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -46,6 +46,40 @@ def test_stages(spark, tmp_path):
     assert Counter(r["doc_id"] for r in packed if r["start"] == 0) == copies
 
 
+def test_near_copies_from_080(spark):
+    """Likeness 0.80 to 0.84 goes in the stage and stays in op8's links; under 0.80 stays in both."""
+    def text(k, changed, of=200):
+        return " ".join(f"new{k}x{i}" if of - changed <= i else f"w{k}x{i}" for i in range(of))
+
+    rows, less = [], set()
+    for k, changed in enumerate((17, 18, 20, 21, 22, 23, 40)):
+        rows += [(10 * k, text(k, 0), "en", "a", 1), (10 * k + 1, text(k, changed), "en", "a", 1)]
+        if brute.jaccard(brute.shingles(rows[-2][1]), brute.shingles(rows[-1][1])) < 0.8:
+            less.add(10 * k + 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stays = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()}
+    assert stays == {r[0] for r in rows if r[0] % 10 == 0} | less and 0 < len(less) < 4
+    assert {r["doc_id"] for r in minhash.near_duplicates(docs).where("kept").collect()} > stays
+    for percent, bands in ((85, minhash.BANDS), (corpus_pipeline.NEAR_PERCENT, minhash.BANDS_80)):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** bands < 1e-6
+
+
+def test_near_dedup_of_a_table(spark):
+    """The stage on the whole table against all pairs at 0.80."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sets = {r["doc_id"]: brute.shingles(r["text"]) for r in docs.select("doc_id", "text").collect()}
+    holders, label = {}, {i: i for i in sets}
+    for i, own in sorted(sets.items()):
+        for near in {j for g in own for j in holders.get(g, ())}:
+            if 100 * len(own & sets[near]) >= 80 * len(own | sets[near]):
+                low, high = sorted((label[i], label[near]))
+                label = {k: low if v == high else v for k, v in label.items()}
+        for g in own:
+            holders.setdefault(g, []).append(i)
+    stays = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    assert stays == sorted(i for i, v in label.items() if i == v)
+
+
 def test_odd_and_empty_documents(spark):
     for kind in ("odd", "empty"):
         docs = documents(spark, kind)

@@ -10,9 +10,12 @@ distance is above ``CUTOFF`` is rejected.
 
 Only DataFrame functions run. Means, covariances and approximate quantiles are
 added up map-side, so a group of any size sends a few numbers per partition;
-distances use a Cholesky factor written as expressions. Groups of fewer than
-``LEAST_GROUP`` documents are pooled by language, then all together; a pool
-still smaller gives no verdict and its documents stay. Each statistic has a
+distances use a Cholesky factor written as expressions. A language's documents
+are fitted in the same way, and each group's shape is drawn towards its
+language's, by the weight of ``PRIOR_ROWS`` documents: a group of n documents
+(more than the p statistics) keeps the weight (n - p) / (n - p + PRIOR_ROWS),
+one of p or fewer has its language's shape. Languages are never mixed: in a
+language of p documents or fewer there is no verdict and they stay. Each statistic has a
 least deviation (``FLOOR``), so that a statistic on which a group's documents
 all agree doesn't turn a harmless difference into an outlier.
 
@@ -37,10 +40,12 @@ WINDOW_WORDS = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
 SUPPORT = 0.75
 STEPS = 4
-LEAST_GROUP = 40
+PRIOR_ROWS = 40
+SMALL_FILES = 8
 CUTOFF = 60.0
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 FLOOR = {"word_length": 0.06, "symbols": 0.25, "dup_lines": 0.25, "repeats": 0.12}
+LEAST_ROWS = len(FEATURES) + 1
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -134,6 +139,10 @@ class Shape:
             groups = groups.withColumns({self.factor(i, j): above[i] / F.col(self.factor(j, j)) for i in range(j + 1, p)}) if j + 1 < p else groups
         return groups.drop(*[f"_c{i}{j}" for j in range(p) for i in range(j, p)])
 
+    def covariance(self, i: int, j: int) -> Column:
+        """Element of the covariance that the factor stands for, i >= j."""
+        return sum((F.col(self.factor(i, k)) * F.col(self.factor(j, k)) for k in range(1, j + 1)), F.col(self.factor(i, 0)) * F.col(self.factor(j, 0)))
+
     def distance(self) -> Column:
         """Squared Mahalanobis distance of a row joined with its group's shape."""
         solved: list[Column] = []
@@ -145,22 +154,22 @@ class Shape:
         return sum((z * z for z in solved[1:]), solved[0] * solved[0])
 
 
-def with_pool(rows: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
-    """Add pool: the language and source, or the language's small sources, or all that is left."""
-    own = F.to_json(F.struct("lang", "source"))
-    sizes = rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"))
-    by_lang = (sizes.where(F.col("n") < least).groupBy("lang").agg(F.sum("n").alias("m")))
-    small = F.col("n") < least
-    pools = (sizes.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-             .select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-                     F.when(~small, own).when(F.col("m") >= least, F.to_json(F.struct("lang"))).otherwise(F.lit("all")).alias("pool")))
-    # written, the small tables have known sizes: Spark broadcasts them and the rows of a hot group stay where they are
-    return (rows.join(materialize(pools, "pools"), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")))
-            .drop("_lang", "_source"))
+def _small(groups: DataFrame, name: str) -> DataFrame:
+    """Write a row per group in a few files, so that its size on disk is that of its rows.
+
+    A file per shuffle partition makes it look too large to broadcast, and the rows of a large group would be dealt by their pool.
+    """
+    return materialize(groups.repartition(SMALL_FILES), name)
+
+
+def with_pool(rows: DataFrame) -> DataFrame:
+    """Add pool (the language and source) and lang_pool (the language)."""
+    return rows.withColumns({"pool": F.concat(F.lit("source "), F.to_json(F.struct("lang", "source"))),
+                             "lang_pool": F.concat(F.lit("lang "), F.to_json(F.struct("lang")))})
 
 
 def fit(rows: DataFrame, names: tuple[str, ...] = FEATURES, floor: dict[str, float] = FLOOR, support: float = SUPPORT,
-        steps: int = STEPS, least: int = LEAST_GROUP) -> DataFrame:
+        steps: int = STEPS, least: int = LEAST_ROWS) -> DataFrame:
     """Shape per pool of rows (pool and feature columns): one row per pool that is large enough."""
     shape, p = Shape(names), len(names)
     factor = consistency(p + p % 2, support)
@@ -170,30 +179,54 @@ def fit(rows: DataFrame, names: tuple[str, ...] = FEATURES, floor: dict[str, flo
 
     middle = rows.groupBy("pool").agg(
         F.count("*").alias("_n"), *[F.percentile_approx(n, 0.5, 1000).alias(shape.centre(i)) for i, n in enumerate(names)])
-    middle = materialize(middle.where(F.col("_n") >= least).drop("_n"), "middle")
+    middle = _small(middle.where(F.col("_n") >= least).drop("_n"), "middle")
     spread = rows.join(middle, "pool").groupBy("pool").agg(
         *[F.first(shape.centre(i)).alias(shape.centre(i)) for i in range(p)],
         *[F.pow(1.4826 * F.percentile_approx(F.abs(F.col(n) - F.col(shape.centre(i))), 0.5, 1000), 2).alias(f"_c{i}{i}") for i, n in enumerate(names)],
         *[F.lit(0.0).alias(f"_c{i}{j}") for j in range(p) for i in range(j + 1, p)])
-    shapes = materialize(floored(spread), "shapes")
+    shapes = _small(floored(spread), "shapes")
     for _ in range(steps):
         far = rows.join(shapes, "pool").withColumn("_d", shape.distance())
-        nearest = materialize(far.groupBy("pool").agg(F.percentile_approx("_d", support, 1000).alias("_h")), "nearest")
+        nearest = _small(far.groupBy("pool").agg(F.percentile_approx("_d", support, 1000).alias("_h")), "nearest")
         kept = far.join(nearest, "pool").where(F.col("_d") <= F.col("_h"))
         moments = kept.groupBy("pool").agg(
             *[F.avg(n).alias(shape.centre(i)) for i, n in enumerate(names)],
             *[(factor * F.covar_pop(names[i], names[j])).alias(f"_c{i}{j}") for j in range(p) for i in range(j, p)])
-        shapes = materialize(floored(moments), "shapes")
+        shapes = _small(floored(moments), "shapes")
     return shapes
 
 
+def group_shapes(rows: DataFrame, prior: int = PRIOR_ROWS) -> DataFrame:
+    """Shape per pool of rows, drawn towards its language's shape: one row per pool of a language that is large enough."""
+    shape, p = Shape(FEATURES), len(FEATURES)
+    good = rows.where(~F.col("base_failed"))
+    fitted = fit(good.select(F.explode(F.array("pool", "lang_pool")).alias("pool"), *FEATURES))
+    pairs = [(i, j) for j in range(p) for i in range(j, p)]
+    flat = fitted.select("pool", *[shape.centre(i) for i in range(p)], *[shape.covariance(i, j).alias(f"_c{i}{j}") for i, j in pairs])
+    names = flat.columns[1:]
+    groups = rows.groupBy("pool", "lang_pool").agg(F.count_if(~F.col("base_failed")).alias("_n"))
+    both = (groups.join(flat.withColumnsRenamed({"pool": "lang_pool", **{c: f"_lang{c}" for c in names}}), "lang_pool")
+            .join(flat, "pool", "left").withColumns({c: F.coalesce(c, f"_lang{c}") for c in names}))
+    extra = F.greatest(F.col("_n") - p, F.lit(0))
+    both = both.withColumn("_w", extra / (extra + prior))
+
+    def drawn(c: str) -> Column:
+        return F.col("_w") * F.col(c) + (1 - F.col("_w")) * F.col(f"_lang{c}")
+
+    def apart(i: int) -> Column:
+        return F.col(shape.centre(i)) - F.col(f"_lang{shape.centre(i)}")
+
+    # the spread between the two centres belongs to the mixture's covariance
+    mixed = both.select("pool", *[drawn(shape.centre(i)).alias(shape.centre(i)) for i in range(p)],
+                        *[(drawn(f"_c{i}{j}") + F.col("_w") * (1 - F.col("_w")) * apart(i) * apart(j)).alias(f"_c{i}{j}") for i, j in pairs])
+    return _small(shape.cholesky(mixed), "shapes")
+
+
 def judge(docs: DataFrame, cutoff: float = CUTOFF, text_col: str = "text") -> DataFrame:
     """doc_id, lang, source, the counts, base_failed, distance (NULL without a verdict) and kept, per row of ``docs``."""
-    counted = materialize(
-        statistics(docs.select("doc_id", "lang", "source", F.col(text_col).alias("text"))).drop("text").withColumns(feature_columns()), "statistics")
-    rows = materialize(with_pool(counted), "pooled")  # read by every step
-    shapes = fit(rows.where(~F.col("base_failed")))
-    return (rows.join(shapes, "pool", "left").withColumn("distance", Shape(FEATURES).distance())
+    counted = statistics(docs.select("doc_id", "lang", "source", F.col(text_col).alias("text"))).drop("text").withColumns(feature_columns())
+    rows = materialize(with_pool(counted), "statistics")  # read by every step
+    return (rows.join(group_shapes(rows), "pool", "left").withColumn("distance", Shape(FEATURES).distance())
             .withColumn("kept", ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= cutoff)))
             .select("doc_id", "lang", "source", *COUNTS, "base_failed", "distance", "kept"))
 

@@ -529,6 +529,34 @@ def test_mcd_against_numpy(spark):
     assert (np.array(found) > 100).sum() == 60
 
 
+def test_small_groups_are_judged_in_their_language(spark):
+    """Groups under 40 rows have a verdict, in their own language and drawn to their own source."""
+    rng = np.random.default_rng(7)
+
+    def text(size, symbols=0):
+        words = ["".join(rng.choice(list("abcdefghij"), max(1, int(rng.normal(size, 1))))) for _ in range(80)]
+        return " ".join(words + ["#$%&|" * 4] * symbols)
+
+    groups = {("de", "a"): (12, 9), ("de", "b"): (30, 6), ("en", "a"): (60, 4), ("fr", "a"): (4, 5)}
+    rows = [(text(size), *key) for key, (n, size) in groups.items() for _ in range(n)]
+    junk = [(text(9, 40), "de", "a"), (text(6, 40), "de", "b"), (text(4, 40), "en", "a")]
+    rows = [(i, *r) for i, r in enumerate(rows + junk)]
+    schema = "doc_id long, text string, lang string, source string"
+    found = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, schema)).collect()}
+    good = len(rows) - len(junk)
+    assert all((found[i]["distance"] is None) == (rows[i][2] == "fr") for i in found)
+    assert [found[i]["kept"] for i in range(good, len(rows))] == [False] * 3
+    assert all(found[i]["kept"] for i in range(good))
+    # other languages' rows change nothing
+    alone = quality.judge(spark.createDataFrame([r for r in rows if r[2] == "de"], schema)).collect()
+    assert all(r["distance"] == pytest.approx(found[r["doc_id"]]["distance"]) for r in alone)
+    # a small group is drawn to its own rows: the few long words of a are nearer than with all rows in one source
+    pooled = quality.judge(spark.createDataFrame([r[:3] + ("all",) for r in rows if r[2] == "de"], schema)).collect()
+    own = [r["doc_id"] for r in pooled if rows[r["doc_id"]][3] == "a" and r["doc_id"] < good]
+    far = {r["doc_id"]: r["distance"] for r in pooled}
+    assert np.median([found[i]["distance"] for i in own]) < 0.95 * np.median([far[i] for i in own])
+
+
 def test_quality_of_a_table(spark):
     rows, text = run(spark, "op10_quality_rules"), dict(sf_rows())
     assert len(rows) == len(text)

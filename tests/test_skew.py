@@ -99,7 +99,8 @@ def test_hot_order_key_join_is_split_by_aqe(spark):
             spark.conf.set(k, v)
         df = cm.landing_claims(li, orders, supplier)
         rows = df.collect()                       # runs this plan; AQE then holds its final form
-        assert len(rows) == n + li.filter(F.pmod("l_orderkey", F.lit(50)) == 0).count()
+        draw = F.pmod(5 * F.col("l_orderkey") + 3 * F.col("l_linenumber"), F.lit(cm.DRAWS))
+        assert len(rows) == n + li.filter(draw.isin(*cm.DEFECTS["resent"])).count()
         final = df._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in final
     finally:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (extraction, fingerprints, licenses, minhash, mixing, packing, quality, sharding, tokens, warc)
+from ledgerline.llm import (extraction, fingerprints, infilling, licenses, minhash, mixing, packing, quality, sharding, tokens, warc)
 from ledgerline.sources.tables import read_table
 
 SHARDS = 8
@@ -71,12 +71,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).drop("lang", "source")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = infilling.fill_in_middle(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return dealt.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.encode("output", "utf-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(infilling.restored(F.col("output"), F.col("form")), "utf-8"), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_token_counts, op3_warc_packages, op4_fingerprints, op5_source_mix, op6_main_text,
-        op7_byte_shards, op8_near_duplicates, op9_packed_sequences, op10_quality_rules)}
+        op7_byte_shards, op8_near_duplicates, op9_packed_sequences, op10_quality_rules, op13_fill_in_middle)}
 
 SQL: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),
     "op5_source_mix": mixing.oracle_sql(),
+    "op13_fill_in_middle": infilling.oracle_sql(),
 }

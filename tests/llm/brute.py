@@ -25,9 +25,9 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def components(rows):
+def components(rows, percent=85, size=5):
     """doc_id -> smallest reachable doc_id for rows (doc_id, text), all pairs that share a shingle compared."""
-    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    sets = [(i, shingles(t, size)) for i, t in rows if i is not None]
     parent = {i: i for i, _ in sets}
 
     def find(a):
@@ -41,7 +41,7 @@ def components(rows):
             holders[g].append(n)
     shared = Counter((a, b) for ns in holders.values() for k, b in enumerate(ns) for a in ns[:k])
     for (a, b), c in shared.items():
-        if 100 * c >= 85 * (len(sets[a][1]) + len(sets[b][1]) - c):
+        if 100 * c >= percent * (len(sets[a][1]) + len(sets[b][1]) - c):
             x, y = find(sets[a][0]), find(sets[b][0])
             parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in parent}

@@ -30,7 +30,7 @@ def test_stages(spark, tmp_path):
     verdict = {r["doc_id"]: r["kept"] for r in quality.judge(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
     assert sorted(r["doc_id"] for r in kept) == sorted(i for i, v in verdict.items() if v)
 
-    component = brute.components([(r["doc_id"], r["text"]) for r in kept])
+    component = brute.components([(r["doc_id"], r["text"]) for r in kept], corpus_pipeline.NEAR_PERCENT)
     assert sorted(r["doc_id"] for r in alone) == sorted(i for i, c in component.items() if i == c)
 
     sizes = Counter()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (conversations, extraction, fingerprints, infilling, licenses, minhash, mixing, packing, quality, sharding, tokens, warc)
+from ledgerline.llm import (conversations, extraction, fingerprints, infilling, jaccard_join, licenses, minhash, mixing, packing, quality, sharding, tokens, warc)
 from ledgerline.sources.tables import materialize, read_table
 
 SHARDS = 8
@@ -71,6 +71,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).drop("lang", "source")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = materialize(conversations.turn_lists(read_table(spark, sf_dir, "conversations")), "turn-lists")
     return conversations.prefix_trie(conversations.paths_of(conversations.rebuilt(lists)))
@@ -87,7 +91,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_token_counts, op3_warc_packages, op4_fingerprints, op5_source_mix, op6_main_text,
-        op7_byte_shards, op8_near_duplicates, op9_packed_sequences, op10_quality_rules, op12_prefix_trie, op13_fill_in_middle)}
+        op7_byte_shards, op8_near_duplicates, op9_packed_sequences, op10_quality_rules, op11_jaccard_join, op12_prefix_trie, op13_fill_in_middle)}
 
 SQL: dict[str, str] = {
     "op1_license_scan": licenses.oracle_sql(),

@@ -186,16 +186,34 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 
 class _Join:
-    """The running state of one join: sets, links found so far and their components."""
+    """The running state of one join: sets read so far, links found so far and their components."""
 
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent, self.edges, self.labels = sets, percent, None, None
+    def __init__(self, source: DataFrame, points: DataFrame, size: int, percent: int):
+        self.source, self.points, self.size, self.percent = source, points, size, percent
+        self.sets, self.edges, self.labels = None, None, None
         self.r = 1 - percent / 100
 
+    def fetch(self, ids: DataFrame) -> DataFrame:
+        """Sets of ``ids``: those not read before come from their texts and are written, each once."""
+        new = ids if self.sets is None else ids.join(self.sets.select("id"), "id", "left_anti")
+        wanted = materialize(self.points.select("id", "digest", "rows").join(new, "id"), "ids")
+        texts = self.source.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        sets = texts.mapInArrow(_sets(self.size), "id long, digest binary, shingles array<bigint>")
+        # a set of several rows is taken once; the others are not shuffled
+        alone = sets.join(wanted.where("rows = 1"), ["id", "digest"], "left_semi")
+        several = wanted.where("rows > 1")
+        if several.take(1):
+            alone = alone.unionByName(sets.join(several, ["id", "digest"], "left_semi").dropDuplicates(["id"]))
+        read = materialize(alone.drop("digest"), "sets")
+        self.sets = read if self.sets is None else self.sets.unionByName(read)
+        return self.sets.join(ids, "id", "left_semi")
+
     def distances(self, pairs: DataFrame) -> DataFrame:
         """(id, pivot, shared, total) of distinct pairs; those that link are remembered."""
-        mine = self.sets.select("id", "shingles")
-        theirs = self.sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("pivot_shingles"))
+        pairs = materialize(pairs, "pairs")
+        sets = self.fetch(materialize(pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct(), "met"))
+        mine = sets.select("id", "shingles")
+        theirs = sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("pivot_shingles"))
         shared = F.size(F.array_intersect("shingles", "pivot_shingles"))
         met = pairs.join(mine, "id").join(theirs, "pivot").select(
             "id", "pivot", shared.alias("shared"), (F.size("shingles") + F.size("pivot_shingles")).alias("both"))
@@ -301,16 +319,13 @@ def _size(members: DataFrame) -> DataFrame:
 
 
 def components(points: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """(node, label) of the points (id, digest, n, first) that link with another one; None if none does."""
+    """(node, label) of the points (id, digest, rows, n, first) that link with another one; None if none does."""
     members = materialize(blocks_of(points).select(
         "key", F.col("key").alias("block"), "id", "n", "pos", "score", F.col("id").alias("label"),
         F.lit(True).alias("home"), F.lit(None).cast("double").alias("near")), "members")
     if not members.take(1):
         return None
-    ids = materialize(members.select("id").distinct().join(points.select("id", "digest"), "id"), "ids")
-    texts = source.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(size), "id long, digest binary, shingles array<bigint>").join(ids, ["id", "digest"], "left_semi")
-    join = _Join(materialize(sets.dropDuplicates(["id"]).drop("digest"), "sets"), percent)
+    join = _Join(source, points, size, percent)
     members = join.collapse(members)
     done, turn = None, 1
     while True:
@@ -336,10 +351,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = materialize(source.mapInArrow(
         _prefixed(size, percent, counts), "doc_id long, n_shingles long, digest binary, first array<bigint>"), "firsts")
     # rows of equal sets are one point
+    named = known.where("doc_id IS NOT NULL AND n_shingles > 0")
+    repeated = named.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows")).where("rows > 1")
     points = materialize(
-        known.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("first").alias("first"))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("digest"))), "points")
+        named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("first").alias("first"))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("digest")))
+        .join(repeated, "id", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), "points")
     labels = components(points.where("nth = 1").drop("nth"), source, size, percent)
     named = points.select("digest", "id")
     if labels is not None:

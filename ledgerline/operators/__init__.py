@@ -1,6 +1,7 @@
 """Composite operators (the W-items): DataFrame -> DataFrame functions."""
 
-from ledgerline.operators.asof import asof_join
+from ledgerline.operators.asof import History, asof_join, asof_timeline, disjoint_intervals
+from ledgerline.operators.buckets import Measured, measured_buckets
 from ledgerline.operators.conform import conform, conform_dimension, dedup_latest, multi_version
 from ledgerline.operators.history import (event_timeline, forward_fill, history_variation, scd2,
                                           scd2_overlaps)
@@ -10,6 +11,7 @@ from ledgerline.operators.integrity import (assert_conserved, conservation, fk_p
                                             split_tagged, tag_first_failing)
 from ledgerline.operators.measures import (assert_unique, key_uniqueness, peer_index, ratio_measures,
                                            rollup_grain, surrogate_key)
+from ledgerline.operators.publish import GateBlocked, Publication, write_audit_publish
 from ledgerline.operators.quality import (Metric, Reconciliation, assert_gate, dq_panel, expect,
                                           null_profile, observed_expectations, ordered_panel, parity,
                                           profile, quality_gate, reconcile)

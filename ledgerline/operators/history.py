@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import any_not_null
+from ledgerline.operators.buckets import Measured, measured_buckets
 
 
 def _lit_date(value: dt.date | str | Column) -> Column:
@@ -44,11 +45,12 @@ def _window(key: Sequence[str] | str, ts: str, tiebreak: Sequence[str]) -> Windo
 
 
 def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[str], cols: Sequence[str],
-                   split_by: Column, prev_col: str | None = None, next_col: str | None = None,
+                   split_by: Column | Measured, prev_col: str | None = None, next_col: str | None = None,
                    lags: Mapping[str, str] | None = None) -> DataFrame:
     """Forward fill (and previous / next timestamp) for keys too hot for one task.
 
-    ``split_by`` must be a non-decreasing function of ``ts`` (e.g. its day).
+    ``split_by`` must be a non-decreasing function of ``ts`` (e.g. its day), or
+    :class:`Measured` for boundaries taken from the rows of the hot keys.
     Phase 1 reduces every (key, bucket) to one summary row (last non-null
     value of each column, first and last timestamp) with a partially
     aggregated group-by: map tasks combine before the shuffle. Phase 2
@@ -69,7 +71,8 @@ def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[s
     lag_src = [c for c in dict.fromkeys(lags.values()) if c != ts]
     if set(lag_src) & set(cols):
         raise ValueError("a column cannot be both filled and lagged in one bucketed scan")
-    x = df.withColumn("__bucket", split_by).withColumn("__flag", F.lit(1))
+    bucketed = measured_buckets(df, keys, [ts, *tiebreak], split_by.parts) if isinstance(split_by, Measured) else df.withColumn("__bucket", split_by)
+    x = bucketed.withColumn("__flag", F.lit(1))
     # same order as the window below: ts ascending (NULL first), tiebreaks NULL last
     ordkey = F.struct(F.col(ts), *[p for t in tiebreak for p in (F.col(t).isNull(), F.col(t))])
     summary = x.groupBy(*keys, "__bucket").agg(
@@ -101,7 +104,7 @@ def _bucketed_scan(df: DataFrame, keys: list[str], ts: str, tiebreak: Sequence[s
 
 
 def forward_fill(df: DataFrame, key: Sequence[str] | str, ts: str, cols: Sequence[str],
-                 tiebreak: Sequence[str] = (), split_by: Column | None = None) -> DataFrame:
+                 tiebreak: Sequence[str] = (), split_by: Column | Measured | None = None) -> DataFrame:
     """Replace NULLs by the last non-NULL value *up to the current row*.
 
     ``last(c, ignorenulls) OVER (PARTITION BY key ORDER BY ts ASC ROWS
@@ -123,7 +126,7 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
          effective: Mapping[str, Sequence[str]] | None = None,
          attribute_timing: str = "closes", open_end: dt.date | str | None = "9999-12-31",
          start_col: str = "valid_from", end_col: str = "valid_to",
-         passthrough: Sequence[str] = (), split_by: Column | None = None, keep_empty: bool = False) -> DataFrame:
+         passthrough: Sequence[str] = (), split_by: Column | Measured | None = None, keep_empty: bool = False) -> DataFrame:
     """Half-open validity intervals ``[start, end)`` from an event timeline.
 
     ``attribute_timing="closes"`` (reference semantics): each event *ends* an
@@ -189,7 +192,7 @@ def scd2(events: DataFrame, key: Sequence[str] | str, ts: str, fill_cols: Sequen
 
 
 def scd2_overlaps(intervals: DataFrame, key: Sequence[str] | str, start: str = "valid_from",
-                  end: str = "valid_to", split_by: Column | None = None) -> DataFrame:
+                  end: str = "valid_to", split_by: Column | Measured | None = None) -> DataFrame:
     """Intervals that start before the previous one ended (must be empty).
 
     ``LAG(end) OVER (PARTITION BY key ORDER BY start, end)``. With

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+from collections.abc import Mapping
+from functools import cache, cached_property
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +22,12 @@ from ledgerline.functions.columns import decode, month_start, quarter_int
 from ledgerline.operators import (
     Metric, Reconciliation, asof_join, conform, conform_dimension, dedup_latest, dq_panel, event_timeline,
     ingest_bronze, peer_index, ratio_measures, rollup_grain, scd2,
-    split_orphans, split_tagged, surrogate_key, tag_first_failing,
+    split_orphans, split_tagged, surrogate_key, tag_first_failing, write_audit_publish,
 )
 from ledgerline.plans import claims_model as cm
-from ledgerline.session import application_id, checkpoint_dir
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources.tables import materialize, read_table
+from ledgerline.sources.versions import Version, VersionStore, fingerprint_of
 
 CLAIM_KEY = ["claim_order", "claim_line"]
 CLAIM_TYPES = {
@@ -70,14 +74,25 @@ def _gt0(v: Column, hit: str) -> Column:
 
 
 # Layers written as tables (like the reference's CREATE OR REPLACE TABLE per
-# module) and reused by downstream modules of the same application.
+# module) and reused by downstream modules and by other applications.
 LAYER_TABLES = frozenset({
     "landing_facility", "landing_provider", "landing_audit", "landing_member", "landing_procedure",
     "landing_claims", "bronze_facility", "bronze_provider", "bronze_audit", "bronze_member", "bronze_procedure",
     "bronze_claims", "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
     "latest_claims", "claims_checked", "intervals", "gold",
 })
-_LAYER_STORE: dict[tuple, str] = {}
+# Facts that the period filters of W26-W31 read: a folder per month, so other months are not opened.
+PARTITIONED = {"claims_checked": ("month",), "gold": ("month",)}
+PIN_SECONDS = 24 * 3600.0       # how long a pipeline keeps the versions that it reads
+_STAGED: dict[tuple[str, str, str], Version] = {}
+
+
+@cache
+def _code_fingerprint() -> str:
+    """Digest of the modules that define the layers: other code builds other versions."""
+    folder = Path(__file__).parent.parent
+    texts = [p.read_bytes() for part in ("functions", "operators", "plans", "sources") for p in sorted((folder / part).glob("*.py"))]
+    return hashlib.sha256(b"\0".join(texts)).hexdigest()
 
 
 def _input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -99,10 +114,12 @@ class ClaimsPipeline:
     """All layers of the claims build for one folder of driver tables.
 
     With ``reuse_layers`` (default) the layer tables in :data:`LAYER_TABLES`
-    are written once per application and input fingerprint to the shared
-    checkpoint folder and read back by every later consumer: each module
-    reads its upstream *tables*, as the reference's notebooks do, instead
-    of recomputing the whole chain. Written tables also give the planner
+    are staged as versions in a store under the shared checkpoint folder, one
+    store per input folder, and read back by every later consumer, in this and
+    in other applications: a version is built once per input files, parameters
+    and code. Versions in use are pinned; :meth:`retire` removes those of
+    replaced inputs. Each module reads its upstream *tables*, as the
+    reference's notebooks do, instead of recomputing the whole chain. Written tables also give the planner
     real sizes, so small dimensions are broadcast up front and large ones
     take a sort-merge join. ``fresh`` names layers this instance must build
     itself (from the stored upstream layers) rather than read.
@@ -127,23 +144,33 @@ class ClaimsPipeline:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def _layer_key(self, name: str) -> tuple:
+    @cached_property
+    def store(self) -> VersionStore:
+        place = hashlib.sha256(str(self.sf_dir).rstrip("/").encode()).hexdigest()[:16]
+        return VersionStore(self.spark, os.path.join(checkpoint_dir(self.spark), "layers", place))
+
+    def _layer_key(self, name: str) -> str:
         if self._fingerprint is None:       # one listing of the input folder per pipeline
             self._fingerprint = _input_fingerprint(self.spark, self.sf_dir)
         own = () if name.startswith(("landing_", "bronze_")) else (self.as_of, self.deleted)
-        return (application_id(self.spark), self._fingerprint, *own, name)
+        return fingerprint_of({"input": self._fingerprint, "code": _code_fingerprint(), "own": own, "layer": name})
+
+    def staged(self, name: str, build) -> Version:
+        """The version of a layer for this input, built if there is none; pinned for this application."""
+        key = (self.store.root, name, self._layer_key(name))
+        if key not in _STAGED:
+            _STAGED[key] = self.store.stage(name, key[2], build, PARTITIONED.get(name, ()))
+            self.store.pin([_STAGED[key]], PIN_SECONDS)
+        return _STAGED[key]
+
+    def retire(self, grace: float = PIN_SECONDS) -> list[tuple[str, str]]:
+        """Remove versions of other inputs or code that nobody holds and that are older than ``grace`` seconds."""
+        return self.store.sweep(grace, keep=lambda v: v.fingerprint == self._layer_key(v.layer))
 
     def _get(self, name: str, build):
         if name not in self._overrides:
             if self.reuse_layers and name in self.layers and name not in self.fresh:
-                key = self._layer_key(name)
-                path = _LAYER_STORE.get(key)
-                if path is None:
-                    digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-                    path = os.path.join(checkpoint_dir(self.spark), "layers", digest, name)
-                    build().write.mode("overwrite").parquet(path)
-                    _LAYER_STORE[key] = path
-                self._overrides[name] = self.spark.read.parquet(path)
+                self._overrides[name] = self.store.read(self.staged(name, build))
             else:
                 self._overrides[name] = build()
         return self._overrides[name]
@@ -309,8 +336,10 @@ class ClaimsPipeline:
 
         One evaluation of the star join decides both sides; written once, the
         valid fact and the quarantine are two filters of it."""
-        return self._get("claims_checked", lambda: tag_first_failing(self._claims_star, self.claim_rules())
-                         .select(*self.VALID_COLS, "quarantine_reason"))
+        return self._get("claims_checked", self._checked)
+
+    def _checked(self) -> DataFrame:
+        return tag_first_failing(self._claims_star, self.claim_rules()).select(*self.VALID_COLS, "quarantine_reason")
 
     @property
     def _split(self) -> tuple[DataFrame, DataFrame]:
@@ -415,9 +444,12 @@ class ClaimsPipeline:
         return self.gold_at(a, "quarter")
 
     # ------------------------------------------------------------ quality
-    def panel(self) -> DataFrame:
+    def panel(self, staged: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """The 13-row DQ panel, one aggregate per source table.
 
+        ``staged`` puts other frames in the place of layers, so that a version
+        can be judged before it is published.
+
         Valid and quarantined claims are the two sides of one checked table,
         so their metrics are conditional aggregates over a single scan of it."""
         c = F.col
@@ -446,8 +478,21 @@ class ClaimsPipeline:
         ]
         recon = [Reconciliation("reconciliation_cost_silver_gold", "checked", F.sum(F.when(valid, c("paid"))),
                                 "gold", F.sum("cost_total"))]
-        return dq_panel({"dim": self.dim_provider, "checked": self.claims_checked, "gold": self.gold,
-                         "orphans": self.orphan_providers}, metrics, recon)
+        of = {name: getattr(self, name) for name in ("dim_provider", "claims_checked", "gold", "orphan_providers")
+              if name not in (staged or {})} | dict(staged or {})
+        return dq_panel({"dim": of["dim_provider"], "checked": of["claims_checked"], "gold": of["gold"],
+                         "orphans": of["orphan_providers"]}, metrics, recon)
+
+    def publish(self) -> DataFrame:
+        """Stage the checked claims and gold, audit the staged files, release both together; gold as released.
+
+        A blocked gate raises and leaves readers on the last release.
+        """
+        staged = [self.staged("claims_checked", self._checked), self.staged("gold", self._gold)]
+        now = self.store.release()
+        if any(now.get(v.layer) != v.version for v in staged):
+            write_audit_publish(self.store, staged, self.panel)
+        return self.store.read(self.store.published("gold"))
 
     # --------------------------------------------------- period predicates
     @staticmethod

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
 
@@ -36,6 +37,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     writer.save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace only the partitions that ``df`` holds rows of (S2 for one period).
+
+    Dynamic overwrite: files of the other partitions are not touched. ``df``
+    must not read from ``path``. Rows of a partition come together first, so
+    a partition gets files of the advised size, not one per task.
+    """
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
+
+
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 

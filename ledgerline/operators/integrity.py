@@ -120,6 +120,18 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
+def conservation_tagged(total: DataFrame, tagged: DataFrame, reason_col: str = "quarantine_reason") -> DataFrame:
+    """``total``, ``valid``, ``rejected``, ``difference`` with one scan of the checked rows.
+
+    Both sides are two conditional counts of the frame that holds them together.
+    """
+    parts = (total.agg(F.count(F.lit(1)).alias("total")).withColumns({"valid": F.lit(0), "rejected": F.lit(0)})
+             .unionByName(tagged.agg(F.count_if(F.col(reason_col).isNull()).alias("valid"), F.count(reason_col).alias("rejected"))
+                          .withColumn("total", F.lit(0))))
+    sums = parts.groupBy().agg(*[F.sum(c).cast("long").alias(c) for c in ("total", "valid", "rejected")])
+    return sums.withColumn("difference", F.col("total") - F.col("valid") - F.col("rejected"))
+
+
 def conservation(total: DataFrame, parts: Mapping[str, DataFrame], total_name: str = "total") -> DataFrame:
     """``total = sum(parts)`` as one row of counters plus the difference.
 

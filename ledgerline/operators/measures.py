@@ -44,6 +44,45 @@ def surrogate_key(df: DataFrame, cols: Sequence[str], name: str = "sk") -> DataF
     return df.withColumn(name, F.xxhash64(*[F.col(c).cast("string") for c in cols]))
 
 
+def surrogate_key_pair(df: DataFrame, cols: Sequence[str], names: Sequence[str] = ("sk_hi", "sk_lo")) -> DataFrame:
+    """A 128-bit key in two longs, the halves of an MD5 over the grain columns.
+
+    64 bits collide by chance from some billions of grains on; 128 bits don't.
+    Every value has its length in front and NULL is told from an empty string, so
+    no two grains give the same text.
+    """
+    text = F.concat(*[F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for c in cols
+                      for v in [F.col(c).cast("string")]])
+    digest = F.md5(F.encode(text, "utf-8"))
+    # a negative base gives the signed number of the 64 bits
+    halves = [F.conv(F.substring(digest, 1 + 16 * i, 16), 16, -10).cast("long") for i in range(2)]
+    return df.withColumns(dict(zip(names, halves)))
+
+
+def key_integrity(df: DataFrame, key: str | Sequence[str], grain: Sequence[str]) -> DataFrame:
+    """One row ``(n_rows, n_grains, n_keys, n_duplicate_grains, n_collisions)``.
+
+    A key on two rows is a duplicate grain (the data are at fault) or a collision
+    (two grains, the key is): grains are counted first, then the grains of each
+    key. Two partially aggregated group-bys; no row meets another.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    grains = df.groupBy(*keys, *[c for c in grain if c not in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    per_key = grains.groupBy(*keys).agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__grains"), F.count_if(F.col("__n") > 1).alias("__twice"))
+    z = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return per_key.agg(z(F.sum("__rows")).alias("n_rows"), z(F.sum("__grains")).alias("n_grains"), F.count(F.lit(1)).alias("n_keys"),
+                       z(F.sum("__twice")).alias("n_duplicate_grains"), F.count_if(F.col("__grains") > 1).alias("n_collisions"))
+
+
+def assert_key(df: DataFrame, key: str | Sequence[str], grain: Sequence[str]) -> None:
+    """Raise with the cause: rows of one grain more than once, or grains that share a key."""
+    row = key_integrity(df, key, grain).first()
+    if row["n_collisions"]:
+        raise AssertionError(f"key collision, take a longer key: {row.asDict()}")
+    if row["n_duplicate_grains"]:
+        raise AssertionError(f"grain repeated: {row.asDict()}")
+
+
 def key_uniqueness(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """One row ``(n_rows, n_distinct, n_duplicates)``; duplicates must be 0."""
     keys = [key] if isinstance(key, str) else list(key)

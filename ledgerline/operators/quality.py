@@ -235,6 +235,26 @@ def observed_expectations(obs: Observation, expectations: Mapping[str, tuple[Col
             for i, (name, (_, action)) in enumerate(expectations.items())]
 
 
+def counted(df: DataFrame, expectations: Mapping[str, tuple[Column, str]]) -> tuple[DataFrame, Observation]:
+    """``df`` itself with the counters of its expectations observed by the job that writes it.
+
+    The observation stands at the top of the plan, so the writing tasks count the
+    rows that they write (each successful task once) and no aggregate reads the
+    dataset again. Read it with :func:`expectation_rows` after the write.
+    """
+    obs = Observation("expectations")
+    return df.observe(obs, F.count(F.lit(1)).alias("__n"), *[
+        F.count_if(passes(ok)).alias(f"__p{i}") for i, (ok, _) in enumerate(expectations.values())]), obs
+
+
+def expectation_rows(df: DataFrame, expectations: Mapping[str, tuple[Column, str]], obs: Observation | None = None) -> DataFrame:
+    """Rows (expectation, action, n_passed, n_failed): from an observation, or else by one aggregate over ``df``."""
+    if obs is None:
+        return expect(df, expectations)[1]
+    rows = [tuple(r.values()) for r in observed_expectations(obs, expectations)]
+    return df.sparkSession.createDataFrame(rows, "expectation string, action string, n_passed long, n_failed long")
+
+
 # ---------------------------------------------------------------------- W25
 def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], dataset: str = "dataset",
            values: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import safe_ratio
+from ledgerline.operators.asof import asof_join
 
 
 def _d(c: str | Column) -> Column:
@@ -44,10 +45,12 @@ def index_variation(gold: DataFrame, segment: Sequence[str] | str, base: Column,
                     cost: str = "cost_total", reference: str = "ref_total") -> DataFrame:
     """Base vs recent cost index and % change per segment, one pass.
 
-    ``base``/``recent`` are period predicates (e.g. ``month <= 200012``).
+    ``base``/``recent`` are period predicates (e.g. ``month <= 200012``); rows of
+    neither period are not read (pruned, where gold has a folder per month), so
+    a segment without rows in both has no result row.
     """
     seg = [segment] if isinstance(segment, str) else list(segment)
-    agg = gold.groupBy(*seg).agg(
+    agg = gold.filter(base | recent).groupBy(*seg).agg(
         _period_sum(cost, base).alias("__cb"), _period_sum(reference, base).alias("__rb"),
         _period_sum(cost, recent).alias("__cr"), _period_sum(reference, recent).alias("__rr"))
     ib = _d("__cb") / F.nullif(_d("__rb"), F.lit(0.0))
@@ -100,11 +103,13 @@ def excess_by_segment(gold: DataFrame, segment: Sequence[str] | str, base: Colum
     """Segment-level excess after removing already explained entities.
 
     ``exclude`` is an explicit entity set (``left_anti`` on ``entity``), so
-    money attributed to a concentrated cause is not counted again here.
+    money attributed to a concentrated cause is not counted again here. Rows of
+    neither period are not read.
     """
     seg = [segment] if isinstance(segment, str) else list(segment)
-    src = (gold.join(exclude, on=entity, how="left_anti")
-           if exclude is not None else gold)
+    src = gold.filter(base | recent)
+    if exclude is not None:
+        src = src.join(exclude, on=entity, how="left_anti")
     agg = src.groupBy(*seg).agg(
         _period_sum(cost, base).alias("__cb"), _period_sum(reference, base).alias("__rb"),
         _period_sum(cost, recent).alias("__cr"), _period_sum(reference, recent).alias("__rr"))
@@ -134,6 +139,32 @@ def post_event_activity(gold: DataFrame, period: str = "month",
     return gold.groupBy(period).agg(F.sum(count_col).alias("n_after_termination"))
 
 
+def post_event_difference(fact: DataFrame, intervals: DataFrame, key: str, at: str, ended: str, planted: str,
+                          period: str = "month", split_by=None) -> DataFrame:
+    """W31 derived: facts after the entity's end, told by its history, beside a flag that the rows carry.
+
+    An entity's end is the first ``ended`` date that its validity intervals (W12)
+    know; it splits time into the span up to that day and the one after it, and
+    the as-of scan tells in which a fact lies. One row per period:
+    ``n_derived``, ``n_flagged``, ``n_only_derived`` and the facts that only the
+    flag marks, by reason: ``n_no_history`` (entity without interval),
+    ``n_no_end`` (its intervals know no end), ``n_before`` (dated up to the end).
+    """
+    ends = intervals.groupBy(key).agg(F.date_add(F.min(ended), 1).alias("__next"))
+    low, high = F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")
+    lasting = ends.select(key, low.alias("__from"), F.coalesce("__next", high).alias("__to"),
+                          F.when(F.col("__next").isNull(), F.lit("no_end")).otherwise(F.lit("before")).alias("__state"))
+    after = ends.where("__next IS NOT NULL").select(key, F.col("__next").alias("__from"), high.alias("__to"), F.lit("after").alias("__state"))
+    placed = asof_join(fact.select(key, at, period, planted), lasting.unionByName(after), key, at, cols=["__state"],
+                       start="__from", end="__to", how="left", split_by=split_by)
+    state = F.coalesce("__state", F.lit("no_history"))
+    flagged = F.coalesce(F.col(planted) == 1, F.lit(False))
+    return placed.groupBy(period).agg(
+        F.count_if(state == "after").alias("n_derived"), F.count_if(flagged).alias("n_flagged"),
+        F.count_if((state == "after") & ~flagged).alias("n_only_derived"),
+        *[F.count_if(flagged & (state == s)).alias(f"n_{s}") for s in ("no_history", "no_end", "before")])
+
+
 def top_outliers(gold: DataFrame, k: int, order_by: str = "peer_index", tiebreak: Sequence[str] = (),
                  where: Column | None = None, cols: Sequence[str] | None = None) -> DataFrame:
     """The k rows with the highest ``order_by`` (TakeOrderedAndProject).

@@ -1,9 +1,10 @@
 """The declarative twin: six datasets, each a query and named expectations.
 
 Every dataset is built from the twin's own upstream datasets without the
-filters of the imperative build; its expectations decide which rows stay. The
-unfiltered dataset is written once: the kept rows are a filter of it and the
-counters one aggregate over it, so neither builds it again.
+filters of the imperative build (timeline, intervals and gold from SQL of their
+own, so that parity compares two definitions); its expectations decide which rows stay. The
+unfiltered dataset is written once: the kept rows are a filter of it, and the
+counters are observed by the tasks that write it and stored beside it.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators import expect, parity
-from ledgerline.plans.pipeline import FILL_COLS, LAYER_TABLES, ClaimsPipeline
+from ledgerline.operators import counted, expect, expectation_rows, parity
+from ledgerline.plans import claims_model as cm
+from ledgerline.plans.pipeline import AUDIT_COLS, FILL_COLS, LAYER_TABLES, ClaimsPipeline
 
 # dataset -> expectation -> (predicate, what happens to a row that fails)
 EXPECTATIONS = {
@@ -63,19 +65,43 @@ COMPARED = {
 class DeclaredPipeline(ClaimsPipeline):
     """The same datasets under the same names, declared with expectations."""
 
-    layers = LAYER_TABLES | {f"declared_{name}" for name in EXPECTATIONS}
+    layers = LAYER_TABLES | {f"declared_{name}{part}" for name in EXPECTATIONS for part in ("", "_counts")}
 
     def declared(self, name: str) -> DataFrame:
         """The dataset before its expectations, written once."""
-        build = {
+        return self._counted(name, self._builds()[name])[0]
+
+    def counts(self, name: str) -> DataFrame:
+        return self._counted(name, self._builds()[name])[1]
+
+    def _builds(self) -> dict:
+        return {
             "dim_provider": lambda: self._provider_facility("left"),
             "dim_member": lambda: self._member_nation("left"),
-            "event_timeline": self._timeline,
-            "intervals": lambda: self._scd2(keep_empty=True),
+            "event_timeline": self._events,
+            "intervals": self._spans,
             "valid_claims": self._claims,
-            "gold": self._gold,
-        }[name]
-        return self._get(f"declared_{name}", build)
+            "gold": self._provider_months,
+        }
+
+    def _counted(self, name: str, build) -> tuple[DataFrame, DataFrame | None]:
+        """The dataset and the counters of its expectations; both are stored, the counters come from the write."""
+        rules, layer = _rules(name), f"declared_{name}"
+        if not rules:
+            return self._get(layer, build), None
+        if not self.reuse_layers or layer in self.fresh:
+            df = self._get(layer, build)
+            return df, expectation_rows(df, rules)
+        seen = []
+
+        def observed() -> DataFrame:
+            df, obs = counted(build(), rules)
+            seen.append(obs)
+            return df
+
+        df = self._get(layer, observed)
+        counts = self._get(f"{layer}_counts", lambda: expectation_rows(df, rules, seen[0] if seen else None))
+        return df, counts
 
     def _claims(self) -> DataFrame:
         """Inner star join; a facility that disagrees with the provider's is nulled."""
@@ -86,6 +112,51 @@ class DeclaredPipeline(ClaimsPipeline):
                 .withColumn("facility_id", F.when(F.col("facility_id") == F.col("__p_facility"), F.col("facility_id")))
                 .drop("__p_facility"))
 
+    def _events(self) -> DataFrame:
+        """The twin's own timeline: a union in SQL, every rule in its WHERE."""
+        cols = ", ".join(AUDIT_COLS)
+        return self.spark.sql(f"""
+            SELECT {cols}, event_seq, audit_date FROM {{audit}}
+            WHERE deleted = 0 AND coalesce(CAST(status AS STRING), CAST(specialty AS STRING), CAST(unit AS STRING),
+                                           CAST(credential_date AS STRING)) IS NOT NULL
+            UNION ALL
+            SELECT {cols}, CAST({cm.CURRENT_EVENT_SEQ} AS BIGINT), DATE'{self.as_of}' FROM {{providers}}""",
+            audit=self.bronze("audit"), providers=self.dim_provider)
+
+    def _spans(self) -> DataFrame:
+        """The twin's own intervals: one plain window per provider, where the other build scans in buckets and carries."""
+        filled = ", ".join(f"last_value({c}) IGNORE NULLS OVER upto AS {c}" for c in FILL_COLS)
+        return self.spark.sql(f"""
+            SELECT provider_id, {', '.join(FILL_COLS)}, if(termination_date < valid_to, termination_date, NULL) AS termination_date,
+                   if(termination_date < valid_to, termination_reason, NULL) AS termination_reason, valid_to AS audit_date, valid_from, valid_to
+            FROM (SELECT provider_id, {filled}, termination_date, termination_reason, audit_date AS valid_to,
+                         coalesce(lag(audit_date) OVER placed, credential_date, audit_date) AS valid_from
+                  FROM {{events}}
+                  WINDOW placed AS (PARTITION BY provider_id ORDER BY audit_date, event_seq NULLS LAST),
+                         upto AS (PARTITION BY provider_id ORDER BY audit_date, event_seq NULLS LAST
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) x""", events=self.event_timeline)
+
+    def _provider_months(self) -> DataFrame:
+        """The twin's own gold: intervals by their bounds with a guard, peer means by a window over the grain."""
+        return self.spark.sql(f"""
+            WITH grain AS (
+              SELECT provider_id, month, count(*) AS n_claims, count(DISTINCT member_id) AS n_members, sum(paid) AS cost_total,
+                     sum(ref_amount) AS ref_total, make_date(div(month, 100), month % 100, 1) AS month_start
+              FROM {{claims}} GROUP BY provider_id, month),
+            state AS (
+              SELECT g.*, v.specialty, row_number() OVER (PARTITION BY g.provider_id, g.month ORDER BY v.valid_from DESC, v.valid_to DESC) AS nth
+              FROM grain g JOIN {{spans}} v ON v.provider_id = g.provider_id AND v.valid_from <= g.month_start AND g.month_start < v.valid_to),
+            indexed AS (
+              SELECT s.provider_id, s.month, n_claims, n_members, cost_total, ref_total, s.specialty,
+                     round(CAST(cost_total AS DOUBLE) / nullif(CAST(ref_total AS DOUBLE), 0D), 4) AS cost_index
+              FROM state s JOIN {{providers}} d ON d.provider_id = s.provider_id WHERE nth = 1),
+            peers AS (
+              SELECT *, cost_index / nullif(avg(cost_index) OVER (PARTITION BY specialty, month), 0D) AS ratio FROM indexed)
+            SELECT provider_id, month, n_claims, n_members, cost_total, ref_total, cost_index, round(ratio, 4) AS peer_index,
+                   CAST(coalesce(ratio >= {cm.PEER_THRESHOLD} AND n_claims >= {cm.PEER_MIN_CLAIMS}, false) AS INT) AS anomaly_flag,
+                   xxhash64(CAST(provider_id AS STRING), CAST(month AS STRING)) AS sk
+            FROM peers""", claims=self.valid_claims, spans=self.intervals, providers=self.dim_provider)
+
     def kept(self, name: str) -> DataFrame:
         return expect(self.declared(name), _rules(name))[0]
 
@@ -99,7 +170,7 @@ class DeclaredPipeline(ClaimsPipeline):
     def metrics(self) -> DataFrame:
         """One row per expectation ``(dataset, expectation, action, n_passed, n_failed)``."""
         return reduce(DataFrame.unionByName, [
-            expect(self.declared(name), _rules(name))[1].select(F.lit(name).alias("dataset"), "*")
+            self.counts(name).select(F.lit(name).alias("dataset"), "*")
             for name, rules in EXPECTATIONS.items() if rules])
 
 

@@ -26,7 +26,7 @@ from ledgerline.operators import (
 )
 from ledgerline.plans import claims_model as cm
 from ledgerline.session import checkpoint_dir
-from ledgerline.sources.tables import materialize, read_table
+from ledgerline.sources.tables import materialize, read_table, replace_partitions
 from ledgerline.sources.versions import Version, VersionStore, fingerprint_of
 
 CLAIM_KEY = ["claim_order", "claim_line"]
@@ -403,7 +403,7 @@ class ClaimsPipeline:
         """Attributes valid at the month start."""
         return self._get("asof_gold", lambda: asof_join(
             self.grain_rollup, self.intervals, "provider_id", "month_start",
-            cols=["specialty", "status", "capacity"], how="inner"))
+            cols=["specialty", "status", "capacity"], how="inner", split_by=lambda t: F.trunc(t, "year")))
 
     def gold_at(self, grain_df: DataFrame, period: str) -> DataFrame:
         d = self.dim_provider.select("provider_id", "provider_name", "provider_type", "facility_id",
@@ -433,6 +433,21 @@ class ClaimsPipeline:
         g = self.gold_at(self.asof_gold, "month")
         return surrogate_key(g.select(*GOLD_COLS), ["provider_id", "month"], "sk")
 
+    def gold_of(self, months: Column) -> DataFrame:
+        """Gold of some months only, from their claims (the other months' files are not opened).
+
+        A month's gold needs no other month: its peers are those of the month.
+        """
+        grain = rollup_grain(self.valid_claims.where(months), ["provider_id", "month"], self.grain_measures()).withColumn(
+            "month_start", month_start("month"))
+        placed = asof_join(grain, self.intervals, "provider_id", "month_start", cols=["specialty", "status", "capacity"], how="inner")
+        return surrogate_key(self.gold_at(placed, "month").select(*GOLD_COLS), ["provider_id", "month"], "sk")
+
+    def refreshed(self, path: str, months: Column) -> DataFrame:
+        """A gold table at ``path`` with the folders of some months replaced, the others untouched; the table."""
+        replace_partitions(self.gold_of(months), path, ["month"])
+        return self.spark.read.schema(self.gold.schema).parquet(path).select(*self.gold.columns)
+
     def gold_quarter(self) -> DataFrame:
         """The same operators at provider x quarter grain (planted-signal check)."""
         q = self.valid_claims.withColumn("quarter", quarter_int(month_start("month")))

@@ -28,9 +28,8 @@ points of different components are split, all at once in each step:
 Where the windows overlap so much that the regions would hold more than
 ``COPIES`` times the block, or one of them more than three quarters of it, and
 where a block is small, it is joined as it is: more and more of its points meet
-all the others of another component, once, in the first block that they share.
-That ends when every block belongs to one component; no point, pair or partner
-is ever capped.
+all the others of another component. That ends when every block belongs to one
+component; no point, pair or partner is ever capped.
 
 What moves: the first shingles of each set once, the sets of points that share a
 block, and one set per compared pair. What is collected is the sketch.
@@ -286,23 +285,19 @@ class _Join:
         return parts.select(*members.columns), whole
 
     # ------------------------------------------------------------ whole blocks
-    def finish(self, members: DataFrame, points: DataFrame) -> None:
+    def finish(self, members: DataFrame) -> None:
         """Join the blocks as they are: chosen points meet all others of another component."""
-        firsts = points.select("id", "first")
-        members = materialize(members.join(firsts, "id"), "members")
         groups, turn = GROWTH, 0
         while members.take(1):
             small = F.count("*").over(Window.partitionBy("key")) <= SMALL
             grouped = members.withColumn("g", F.when(small, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(groups))))
             chosen = grouped.groupBy("key", "g").agg(F.max_by(
-                F.struct("id", "n", "pos", "label", "home", "near", "first"), F.struct("score", -F.col("id"))).alias("p"))
-            chosen = chosen.select("key", *[F.col(f"p.{c}").alias(f"pivot_{c}") for c in ("id", "n", "pos", "label", "home", "near", "first")])
+                F.struct("id", "n", "pos", "label", "home", "near"), F.struct("score", -F.col("id"))).alias("p"))
+            chosen = materialize(chosen.select("key", *[F.col(f"p.{c}").alias(f"pivot_{c}") for c in ("id", "n", "pos", "label", "home", "near")]), "chosen")
             met = members.join(chosen, "key").where(
                 (F.col("label") != F.col("pivot_label")) & _possible(self.percent, "pivot")
                 & (F.col("home") | F.col("pivot_home"))
-                & F.coalesce(F.abs(F.col("near") - F.col("pivot_near")) <= self.r + MARGIN, F.lit(True))
-                # both stand in many blocks: they meet in the first one that they share
-                & (F.get(F.array_intersect("first", "pivot_first"), F.lit(0)) == F.col("block")))
+                & F.coalesce(F.abs(F.col("near") - F.col("pivot_near")) <= self.r + MARGIN, F.lit(True)))
             self.distances(_once(met.select("id", F.col("pivot_id").alias("pivot"))))
             left = members.join(chosen.select("key", F.col("pivot_id").alias("id")), ["key", "id"], "left_anti")
             members = self.open(left)
@@ -339,7 +334,7 @@ def components(points: DataFrame, source: DataFrame, size: int, percent: int) ->
         done = done.unionByName(whole)
         members = join.open(parts)
         turn += 1
-    join.finish(join.open(done), points)
+    join.finish(join.open(done))
     return join.labels
 
 

@@ -73,14 +73,15 @@ def with_global_index(rows: DataFrame, order: list[Column], name: str = "idx") -
 
 
 def byte_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
-    """Group texts into lists of about ``limit`` characters (one text at least)."""
+    """Group texts into lists of at most ``limit`` bytes in UTF-8 (one text at least)."""
     group, held = [], 0
     for text in texts:
-        if group and held + len(text) > limit:
+        size = len(text) if text.isascii() else len(text.encode())
+        if group and held + size > limit:
             yield group
             group, held = [], 0
         group.append(text)
-        held += len(text)
+        held += size
     if group:
         yield group
 
@@ -88,7 +89,10 @@ def byte_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
 # A chunk is a run of white space and the word after it; a cut stands only
 # between a non-space and a white-space character.
 SPACED_CHUNK = re.compile(f"[{UNICODE_SPACE}]*[^{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+")
-# Without white space, a word also ends before a stop that follows a letter or number
-# (pre-tokens hold either letters, or one number, or other signs).
-BARE_CHUNK = re.compile(rf"[^\W\d_]+(?=[.,;:!?])|[^{UNICODE_SPACE}]+")
+# What lies between white space; str.split() gives the same for texts without these four separators.
+BARE_CHUNK = re.compile(f"[^{UNICODE_SPACE}]+")
+SEPARATORS = re.compile("[\x1c-\x1f]")
+# Signs before which a word ends if a letter stands there (pre-tokens hold either letters,
+# or one number, or other signs); it must still be a letter after normalisation.
+WORD_ENDS = ".,;:!?#*$%&"
 SAFE_CUT = re.compile(f"(?<=[^{UNICODE_SPACE}])[{UNICODE_SPACE}]")

@@ -19,18 +19,19 @@ from __future__ import annotations
 import os
 import re
 import string
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BARE_CHUNK, SAFE_CUT, SPACED_CHUNK, byte_batches
+from ledgerline.llm.common import BARE_CHUNK, SAFE_CUT, SEPARATORS, SPACED_CHUNK, WORD_ENDS, byte_batches
 
 GROUP_CHARS = 1_000_000      # characters worked through at once
 TABLE_ENTRIES = 1_000_000      # chunks remembered by one Python worker
 TABLE_CHUNK = 64             # longer chunks are not remembered
-ENCODE_CHARS = 200_000       # characters in one call of the tokenizer
+ENCODE_BYTES = 200_000       # UTF-8 bytes in one call of the tokenizer
 JOINED_CHUNKS = 2000         # chunks without white space that are encoded as one text
 MARK = "\x01"                # stands between them, if the tokenizer gives it an id of its own
 
@@ -43,24 +44,26 @@ def tokenizer_path(name: str) -> str:
 class ChunkTable:
     """Token ids (or counts) of chunks, worked out once by the tokenizer.
 
-    ``ids=True`` keeps little-endian unsigned 32-bit ids as bytes. The table is
-    emptied when it is full, so its memory is bounded whatever the texts hold.
-    Chunks without white space are encoded many at a time with a mark between
-    them, where the tokenizer keeps the mark to itself; texts are lower-cased
-    (A-Z) before they are cut, where the tokenizer would do so and no special
-    string comes of it, so that fewer chunks differ.
+    ``ids=True`` keeps little-endian unsigned 32-bit ids as bytes. The tables are
+    emptied when they are full, so their memory is bounded whatever the texts hold.
+    Chunks without white space are cut once more, behind a letter and before a
+    sign that ends a word, when they are first met; what comes of that is encoded
+    many at a time with a mark between, where the tokenizer keeps the mark to
+    itself. Texts are lower-cased (A-Z) before they are cut, where the tokenizer
+    would do so and no special string comes of it, so that fewer chunks differ.
     """
 
     def __init__(self, path: str, pattern: re.Pattern, ids: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per Spark task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern, self.ids, self.known = pattern, ids, {}
+        self.pattern, self.ids, self.known, self.words = pattern, ids, {}, {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         normal = self.tokenizer.normalizer
         self.folds = normal is not None and normal.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
         alone, apart = self._ids(MARK), self._ids(f"a {MARK} b")
         self.mark = alone[0] if pattern is BARE_CHUNK and apart == self._ids("a") + alone + self._ids("b") and len(alone) == 1 else None
+        self.inner = inner_chunks(normal) if pattern is BARE_CHUNK else None
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -71,6 +74,11 @@ class ChunkTable:
         lower = text.encode().lower().decode()
         return text if any(s in lower for s in self.special) else lower
 
+    def _cut(self, text: str) -> list[str]:
+        if self.inner is not None and not SEPARATORS.search(text):
+            return text.split()
+        return self.pattern.findall(text)
+
     def _learn(self, chunks: list[str], into: dict) -> None:
         import numpy as np
         if self.ids and self.mark is not None:
@@ -85,22 +93,37 @@ class ChunkTable:
                     into.update((c, packed[a:b]) for c, a, b in zip(group, [0, *(e + 4 for e in ends)], ends))
                 else:
                     chunks += group
-        for group in byte_batches(chunks, ENCODE_CHARS):
+        for group in byte_batches(chunks, ENCODE_BYTES):
             done = self.tokenizer.encode_batch_fast(group, add_special_tokens=False)
             if self.ids:
                 into.update(zip(group, (np.array(e.ids, "<u4").tobytes() for e in done)))
             else:
                 into.update(zip(group, map(len, done)))
 
+    def _learn_words(self, chunks: list[str]) -> None:
+        """Chunks between white space, from the ids of the words and signs in them."""
+        if not self.ids or any(s in c for c in chunks if "<" in c for s in self.special):
+            return self._learn(chunks, self.known)
+        cut = [self.inner.findall(c) for c in chunks]
+        if len(self.words) > TABLE_ENTRIES // 2:
+            self.words = {}
+        self._learn(list(set().union(*cut).difference(self.words)), self.words)
+        get = self.words.__getitem__
+        self.known.update((c, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for c, p in zip(chunks, cut))
+
     def parts(self, texts: list[str]) -> Iterator[list]:
         """Per text the counts (or id bytes) of its chunks, in order."""
-        cut = [self.pattern.findall(self._folded(t)) for t in texts]
+        cut = [self._cut(self._folded(t)) for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > TABLE_ENTRIES:
             self.known = {}
             new = set().union(*cut)
         long = [c for c in new if len(c) > TABLE_CHUNK]
-        self._learn([c for c in new if len(c) <= TABLE_CHUNK], self.known)
+        short = [c for c in new if len(c) <= TABLE_CHUNK]
+        if self.inner is not None:
+            self._learn_words(short)
+        else:
+            self._learn(short, self.known)
         self._learn(long, self.known)
         get = self.known.__getitem__
         for chunks in cut:
@@ -109,6 +132,20 @@ class ChunkTable:
             del self.known[c]
 
 
+def inner_chunks(normalizer) -> re.Pattern:
+    """Pieces of a run without white space: a word that a sign follows, or the rest.
+
+    A letter that normalisation turns into a letter and a mark (a capital I with a
+    dot, many Indic letters) does not end a piece: the mark would go with the sign.
+    """
+    letters = [chr(i) for i in range(0x80, sys.maxunicode + 1) if chr(i).isalpha()]
+    after = normalizer.normalize_str("\n".join(letters)).replace("\n", " ").split(" ") if normalizer is not None else letters
+    if len(after) != len(letters):
+        after = ["." for _ in letters]
+    unsafe = "".join(c for c, n in zip(letters, after) if not n or not n[-1].isalpha())
+    return re.compile(rf"[^\W\d_]*[^\W\d_{re.escape(unsafe)}](?=[{re.escape(WORD_ENDS)}])|.+", re.S)
+
+
 def pieces_of(text: str, limit: int) -> Iterator[str]:
     """Cut a long text at safe boundaries into pieces of about ``limit`` characters."""
     start = 0

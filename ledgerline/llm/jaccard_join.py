@@ -61,7 +61,7 @@ PERCENT = 85
 BUCKETS = 1 << 18            # counts of the sketch that orders shingles
 REACH_STEPS = 4              # the outside begins at 4 r
 PIVOTS = 8                   # per block and step
-SMALL = 24                   # points of a block that is joined as it is
+SMALL = 96                   # points of a block that is joined as it is
 COPIES = 1.5                 # a split may hold so many times the block's points
 GROWTH = 16                  # of the points that meet all others, by round
 MARGIN = 1e-9                # of floating-point bounds; links themselves are decided in integers
@@ -134,18 +134,19 @@ def _prefixed(size: int, percent: int, counts: np.ndarray):
 
 
 def _sets(size: int):
-    """An Arrow function (doc_id, text) -> (id, digest, shingles)."""
+    """An Arrow function (doc_id, text, digest, rows) -> (id, rows, shingles) of the texts whose set has that digest."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
+            texts = batch.column(1).cast(pa.binary())
+            ids, digests, rows = (batch.column(i).to_pylist() for i in (0, 2, 3))
             for start in range(0, len(ids), 256):
-                part = ids[start:start + 256]
-                found = [shingle_set(words_of(texts[start + i].as_py()), size) for i in range(len(part))]
+                found = [(i, shingle_set(words_of(texts[i].as_py()), size)) for i in range(start, min(start + 256, len(ids)))]
+                found = [(i, s) for i, s in found if xxh3_128_digest(s.tobytes()) == digests[i]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int64()), pa.array([xxh3_128_digest(s.tobytes()) for s in found], pa.binary()),
-                     pa.array([s.astype(np.int64, copy=False) for s in found], pa.list_(pa.int64()))], ["id", "digest", "shingles"])
+                    [pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([rows[i] for i, _ in found], pa.int64()),
+                     pa.array([s.astype(np.int64, copy=False) for _, s in found], pa.list_(pa.int64()))], ["id", "rows", "shingles"])
 
     return sets
 
@@ -196,23 +197,43 @@ class _Join:
         """Sets of ``ids``: those not read before come from their texts and are written, each once."""
         new = ids if self.sets is None else ids.join(self.sets.select("id"), "id", "left_anti")
         wanted = materialize(self.points.select("id", "digest", "rows").join(new, "id"), "ids")
-        texts = self.source.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        sets = texts.mapInArrow(_sets(self.size), "id long, digest binary, shingles array<bigint>")
-        # a set of several rows is taken once; the others are not shuffled
-        alone = sets.join(wanted.where("rows = 1"), ["id", "digest"], "left_semi")
-        several = wanted.where("rows > 1")
-        if several.take(1):
-            alone = alone.unionByName(sets.join(several, ["id", "digest"], "left_semi").dropDuplicates(["id"]))
-        read = materialize(alone.drop("digest"), "sets")
+        texts = self.source.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "digest", "rows")
+        sets = texts.mapInArrow(_sets(self.size), "id long, rows long, shingles array<bigint>")
+        # a set of several rows is taken once; the others are not shuffled for that
+        once = sets.where("rows = 1")
+        if wanted.where("rows > 1").take(1):
+            once = once.unionByName(sets.where("rows > 1").dropDuplicates(["id"]))
+        read = materialize(once.drop("rows"), "sets")
         self.sets = read if self.sets is None else self.sets.unionByName(read)
         return self.sets.join(ids, "id", "left_semi")
 
-    def distances(self, pairs: DataFrame) -> DataFrame:
-        """(id, pivot, shared, total) of distinct pairs; those that link are remembered."""
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose first shingles leave it open that they link.
+
+        With c first shingles in common, what two sets share is c and, of the one
+        whose first shingles end earlier in the order, the rest at most.
+        """
+        firsts = self.points.select("id", "n", "first")
+        theirs = firsts.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("first").alias("pivot_first"))
+        theirs = theirs.join(pairs.select("pivot").distinct(), "pivot", "left_semi")
+        both = pairs.join(firsts, "id").join(theirs, "pivot")
+        rest = F.greatest(F.col("n") - F.size("first"), F.col("pivot_n") - F.size("pivot_first"))
+        shared = F.least(F.size(F.array_intersect("first", "pivot_first")) + rest, F.col("n"), F.col("pivot_n"))
+        return both.where(100 * shared >= self.percent * (F.col("n") + F.col("pivot_n") - shared)).select("id", "pivot")
+
+    def distances(self, pairs: DataFrame, links_only: bool = True) -> DataFrame:
+        """(id, pivot, shared, total) of distinct pairs; those that link are remembered.
+
+        With ``links_only`` pairs that can't link are left out before their sets are read.
+        """
         pairs = materialize(pairs, "pairs")
+        if links_only:
+            pairs = materialize(self.near(pairs), "near-pairs")
         sets = self.fetch(materialize(pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct(), "met"))
         mine = sets.select("id", "shingles")
-        theirs = sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("pivot_shingles"))
+        # few sets stand on the pivots' side: small enough, they are broadcast and the others stay where they are
+        theirs = materialize(sets.join(pairs.select(F.col("pivot").alias("id")).distinct(), "id", "left_semi")
+                             .select(F.col("id").alias("pivot"), F.col("shingles").alias("pivot_shingles")), "pivot-sets")
         shared = F.size(F.array_intersect("shingles", "pivot_shingles"))
         met = pairs.join(mine, "id").join(theirs, "pivot").select(
             "id", "pivot", shared.alias("shared"), (F.size("shingles") + F.size("pivot_shingles")).alias("both"))
@@ -254,7 +275,7 @@ class _Join:
         met = members.join(pivots, "key")
         wanted = met.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
         pairs = wanted.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot")
-        found = self.distances(_once(pairs))
+        found = self.distances(_once(pairs), links_only=False)
         both = found.unionByName(found.select(F.col("pivot").alias("id"), F.col("id").alias("pivot"), "shared", "total"))
         # of its own blocks' pivots only: a pivot does not gather all that it met
         asked = wanted.select("id", F.explode("pivots").alias("pivot"))
@@ -305,8 +326,9 @@ class _Join:
 
 
 def _once(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs, the smaller id as the pivot's partner."""
-    return pairs.select(F.least("id", "pivot").alias("id"), F.greatest("id", "pivot").alias("pivot")).distinct()
+    """Distinct pairs, whichever of the two was the pivot (the larger id, if both were)."""
+    both = pairs.groupBy(F.least("id", "pivot").alias("low"), F.greatest("id", "pivot").alias("high")).agg(F.max("pivot").alias("pivot"))
+    return both.select(F.when(F.col("pivot") == F.col("high"), F.col("low")).otherwise(F.col("high")).alias("id"), "pivot")
 
 
 def _size(members: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def test_table(spark):
     assert len(set(want.values())) < len(want)
 
 
-@pytest.mark.parametrize("small", [24, 4])
+@pytest.mark.parametrize("small", [96, 4])
 def test_families(spark, monkeypatch, small):
     """One large family with passages that others share, and many small ones, also when regions are split deeper."""
     monkeypatch.setattr(jj, "SMALL", small)

@@ -66,12 +66,15 @@ PLACE = re.compile(
     r"\d*|site|page|main|global|primary|secondary|top|bottom|left|right|header|head|body|inner|outer|box|block|bar|list|"
     r"area|zone|wrap|wrapper|container|holder|section|panel|group|row|col|column|item|items|unit|slot|space|link|links|"
     r"button|buttons|btn|btns|icon|icons|message|text|title|post|posts|article|articles|story|stories|us|this|skip|thread")
-COMMENTS = re.compile(r"comments?|commentlist|respond|disqus\w*|replies")
+# Marks of what is never the page's text, however long it is.
+FIRM = re.compile(
+    r"comments?|commentlist|respond|disqus\w*|replies|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|"
+    r"signup|ads?|adverts?|advertis\w*|adsense|adslot|adbox|sponsor\w*|promo\w*")
 HEADER_MARKS = frozenset(("site-header", "siteheader", "page-header", "pageheader", "header", "banner"))
 MAIN_MARK = re.compile(r"""\brole\s*=\s*["']?(?:main|article)\b""", re.I)
 MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>|"
@@ -81,18 +84,18 @@ TOKEN = re.compile(
 
 @lru_cache(maxsize=65536)
 def marked(word: str) -> tuple[bool, bool]:
-    """Whether a word of class, id or role marks other things than content, and whether these are comments."""
+    """Whether a word of class, id or role marks other things than content, and whether these never are content."""
     parts = word.split("-")
     if not any(map(MARK.fullmatch, parts)) or not all(MARK.fullmatch(x) or PLACE.fullmatch(x) for x in parts):
         return False, False
-    return True, any(map(COMMENTS.fullmatch, parts))
+    return True, any(map(FIRM.fullmatch, parts))
 
 
 class Wrapper:
     """An element to leave out: where it began in the counts of the page, and at its end what it holds."""
 
-    def __init__(self, page: Page, name: str, by_name: bool, comments: bool):
-        self.name, self.fixed, self.in_main = name, (by_name and name != "form") or comments, page.mains_open > 0
+    def __init__(self, page: Page, name: str, by_name: bool, firm: bool):
+        self.name, self.fixed, self.in_main = name, (by_name and name != "form") or firm, page.mains_open > 0
         self.chars, self.articles, self.mains = -page.seen, -page.articles, -page.mains
 
     def end(self, page: Page) -> None:
@@ -149,7 +152,7 @@ class Page:
                 self.plain += chars
 
     def _left_out(self, name: str, attrs: str) -> tuple[bool, bool, bool]:
-        """Whether an element is left out, whether for its name, and whether it holds comments."""
+        """Whether an element is left out, whether for its name, and whether it never holds the page's text."""
         if name in NEVER:
             return True, True, False
         if name in ("html", "body", "main"):
@@ -158,15 +161,20 @@ class Page:
             return True, True, False
         if not attrs:
             return False, False, False
-        found = comments = False
-        for kind, a, b, c in ATTR.findall(attrs) if name not in HEADINGS else ():
-            if kind.lower() == "id" and name == "section" and self.inside:
-                continue  # the name of a section of the text
-            for word in (a or b or c).lower().replace("_", "-").split():
-                mark, comment = marked(word)
+        found = firm = hidden = False
+        for kind, a, b, c in ATTR.findall(attrs):
+            kind, value = kind.lower(), (a or b or c).lower()
+            if kind == "hidden" or kind == "aria-hidden" and value.strip() == "true" or kind == "style" and NO_DISPLAY.search(value):
+                hidden = True
+            if kind not in ("class", "id", "role") or name in HEADINGS:
+                continue
+            for word in value.replace("_", "-").split():
+                mark, never = marked(word)
+                if kind == "id" and name == "section" and self.inside and not never:
+                    continue  # the name of a section of the text
                 found = found or mark or (not self.inside and word in HEADER_MARKS)
-                comments = comments or comment
-        return found or bool(HIDDEN.search(attrs)), False, comments
+                firm = firm or never
+        return found or hidden, False, firm
 
     def _open(self, name: str, attrs: str) -> None:
         if name in CLOSES_P and any(x[0] == "p" for x in self.stack):
@@ -179,11 +187,11 @@ class Page:
             return
         number = self.opened
         self.opened += 1
-        left, by_name, comments = self._left_out(name, attrs)
+        left, by_name, firm = self._left_out(name, attrs)
         left = left and number not in self.spare
         hard = left and name in NEVER and name not in WRAPS
         if left and not hard and not self.hard:
-            self.wrappers[number] = Wrapper(self, name, by_name, comments)
+            self.wrappers[number] = Wrapper(self, name, by_name, firm)
             self.wrapped += 1
         content = name in ("article", "main") or bool(attrs and MAIN_MARK.search(attrs))
         if content and not self.hard:
@@ -290,10 +298,13 @@ def main_text(source: str | None) -> str:
         lengths = [len(text) if inside else 0 for text, _, inside in lines]
         keep = regions(lengths, 1)
     else:
+        # what was left out parts no region: a heading before an advert belongs to the text after it
+        lines = [line for line in lines if line[0]]
         lengths = [plain for _, plain, _ in lines]
         keep = regions(lengths, SURGE_CHARS)
         if not keep:  # a short page: its longest blocks
             keep = regions(lengths, max([1, *block_sums(lengths)]))
+        keep = [(keep[0][0], keep[-1][1])] if keep else []   # from the first surge to the last dive
     # a window also takes in empty lines (such as rows of links) next to the text
     keep = [(next(i for i in range(a, b) if lengths[i]), next(i for i in range(b - 1, a - 1, -1) if lengths[i]) + 1) for a, b in keep]
     marked = any(inside for _, _, inside in lines)

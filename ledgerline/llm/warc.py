@@ -5,15 +5,19 @@ and the others are revisits that name it. That is one small group-by and a join
 by digest (a hot digest is split like any skewed join). Every task streams its
 rows into one package in the shared folder: a stored member
 ``archive/data.warc.gz`` (one gzip member per record) and a stored member
-``indexes/index.cdxj`` (one line per record: id, offset, length). The package's
-name is unique to the attempt, and only names that come back through the
+``indexes/index.cdxj`` (one sorted line per record: key, time and a JSON object
+with offset, length and file name). The package's name is unique to the attempt, and only names that come back through the
 written manifest are read, so a lost or repeated task leaves no trace.
 
 Reading: the end record of a package (or its ZIP64 form) gives the central
-directory, that gives the place of the stored members, the index gives byte
-ranges. Ranges are dealt out in blocks over all tasks, and each block is read
-by position; nothing is unpacked to disk. Payload digests are worked out anew
-from what was read and must agree with the record's header.
+directory, that gives the place of the stored members, the indexes (CDXJ or CDX
+lines, gzipped or not, over any number of ``archive/`` members) give byte
+ranges. Ranges are dealt out in blocks over as many tasks as the packages' bytes
+ask for, and each block is read by position; nothing is unpacked to disk.
+Payload digests are worked out anew from what was read and must agree with the
+record's header. Packages made elsewhere are read too: request, metadata and
+other records that hold no page are left out, and what a record doesn't state
+(page id, referred page, digest) is NULL or worked out.
 
 Defined results: a NULL payload is empty (0 bytes, the digest of nothing);
 records smaller than ``min_bytes`` are always responses; repeated rows with one
@@ -29,6 +33,7 @@ import hashlib
 import io
 import json
 import os
+import re
 import struct
 import uuid
 import zipfile
@@ -37,7 +42,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
@@ -45,6 +50,9 @@ from ledgerline.sources.tables import materialize
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 BLOCK_BYTES = 4 << 20
+GAP_BYTES = 64 << 10         # between records that are read together
+MOST_TASKS = 100_000         # of one stage; each then reads several blocks
+_BLOCK = ["package", "size", "member", "start", "offsets", "lengths"]
 GZIP_LEVEL = 4
 DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -79,17 +87,32 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
 
 
 def parse_record(raw: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
-    """WARC fields, HTTP fields and payload of one record."""
+    """WARC fields, HTTP fields (names in lower case) and payload of one record."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError(f"not a WARC record: {version[:20]!r}")
-    fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
-    block = rest[:int(fields["Content-Length"])]
-    if len(block) != int(fields["Content-Length"]):
+    fields = _fields(lines)
+    block = rest[:int(fields["content-length"])]
+    if len(block) != int(fields["content-length"]):
         raise ValueError("a WARC record breaks off")
+    if not fields.get("content-type", "").startswith("application/http"):
+        return fields, {}, block
     http, _, payload = block.partition(b"\r\n\r\n")
-    return fields, dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:]), payload
+    return fields, _fields(http.decode("utf-8", "replace").split("\r\n")[1:]), payload
+
+
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header lines by lower-case name; a line that begins with white space goes on with the one before."""
+    found, last = {}, None
+    for line in lines:
+        if line[:1] in (" ", "\t") and last:
+            found[last] += " " + line.strip()
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            last = name.strip().lower()
+            found[last] = value.strip()
+    return found
 
 
 # --- ZIP packages ---------------------------------------------------------
@@ -196,24 +219,56 @@ def _file_system(uri: str):
     return system, path
 
 
-def write_package(stream: io.RawIOBase, records: Iterator[tuple[int | None, bytes]]) -> tuple[int, int]:
-    """Write gzipped records and their index as stored members; the number of records and the data's bytes."""
+def write_package(stream: io.RawIOBase, records: Iterator[tuple[int | None, str, str, bytes]]) -> tuple[int, int]:
+    """Write gzipped records (page_id, url, digest, bytes) and their index as stored members; the number of records and the data's bytes."""
     index, at = [], 0
     with zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED, allowZip64=True) as package:
         with package.open(zipfile.ZipInfo(DATA), "w", force_zip64=True) as data:
-            for page_id, raw in records:
+            for page_id, url, digest, raw in records:
                 packed = gzip.compress(raw, GZIP_LEVEL, mtime=0)
                 data.write(packed)
-                index.append(json.dumps({"page_id": page_id, "offset": at, "length": len(packed)}))
+                entry = {"url": url, "digest": f"sha1:{digest}", "mime": "text/html", "status": "200", "offset": str(at),
+                         "length": str(len(packed)), "filename": DATA.rsplit("/", 1)[1], "page_id": page_id}
+                index.append(f"{sort_key(url)} {''.join(c for c in DATE if c.isdigit())} {json.dumps(entry)}")
                 at += len(packed)
         with package.open(zipfile.ZipInfo(INDEX), "w", force_zip64=True) as out:
-            out.write("\n".join(index).encode())
+            out.write("\n".join(sorted(index)).encode())
     return len(index), at
 
 
-def read_index(package: Package) -> list[tuple[int | None, int, int]]:
-    lines = package.member(INDEX).decode().splitlines()
-    return [(x["page_id"], x["offset"], x["length"]) for x in map(json.loads, lines)]
+def sort_key(url: str) -> str:
+    """Host parts from the right, then the rest: pages of one site stand together in an index."""
+    host, _, path = re.sub(r"^\w+://(?:www\d*\.)?", "", url.lower()).partition("/")
+    return re.sub(r"\s", "%20", f"{','.join(reversed(host.split('.')))})/{path}")
+
+
+def index_lines(text: str) -> Iterator[tuple[str, int, int]]:
+    """(file name, offset, length) of CDXJ lines (key, time, JSON) or of CDX lines, whose first line names the fields."""
+    letters: list[str] = []
+    for line in text.splitlines():
+        if line.lstrip().startswith("CDX "):
+            letters = line.split()[1:]
+        elif "{" in line and not line.startswith("!"):
+            entry = json.loads(line[line.index("{"):])
+            yield entry.get("filename", ""), int(entry["offset"]), int(entry["length"])
+        elif letters and len(cells := line.split()) == len(letters):
+            entry = dict(zip(letters, cells))
+            yield entry["g"], int(entry["V"]), int(entry["S"])
+
+
+def read_index(package: Package) -> list[tuple[str, int, int]]:
+    """(member, offset, length) of every indexed record, in the order of their places."""
+    found = set()
+    for name in package.members:
+        if not re.fullmatch(r"indexes/.+\.cdxj?(\.gz)?", name):
+            continue
+        raw = package.member(name)
+        for filename, offset, length in index_lines((gzip.decompress(raw) if name.endswith(".gz") else raw).decode()):
+            member = next((m for m in (f"archive/{filename}", filename) if m in package.members), None)
+            if member is None:
+                raise ValueError(f"an index names {filename!r}, which the package doesn't hold")
+            found.add((member, offset, length))
+    return sorted(found)
 
 
 # --- Spark ----------------------------------------------------------------
@@ -236,13 +291,13 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _file_system(folder)
 
-        def records(first: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        def records(first: pa.RecordBatch) -> Iterator[tuple[int | None, str, str, bytes]]:
             batch = first
             while batch is not None:
                 for i, (page_id, url, digest, ref) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("page_id", "url", "digest", "refers_to")))):
                     payload = batch.column("payload")[i].as_py()
                     b32 = base64.b32encode(bytes.fromhex(digest)).decode()
-                    yield page_id, record_bytes(page_id, url, payload, b32, ref)
+                    yield page_id, url or "", b32, record_bytes(page_id, url, payload, b32, ref)
                 batch = next(batches, None)
 
         first = next((b for b in batches if b.num_rows), None)
@@ -259,8 +314,20 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     return materialize(rows.mapInArrow(write, "package string, size long, records long"), "manifest")
 
 
+def manifest_of(spark: SparkSession, packages: list[str]) -> DataFrame:
+    """A manifest (package, size) of packages that were made elsewhere."""
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uris = batch.column(0).to_pylist()
+            places = [_file_system(uri) for uri in uris]
+            yield pa.RecordBatch.from_pydict({"package": uris, "size": [system.get_file_info(path).size for system, path in places]})
+
+    return materialize(spark.createDataFrame([(p,) for p in packages], "package string").mapInArrow(sized, "package string, size long"), "manifest")
+
+
 def read_blocks(manifest: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Byte ranges of whole records, from each package's directory and index: package, size, block, lengths."""
+    """Byte ranges of whole records, from each package's directory and indexes: package, size, member, start, offsets, lengths."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,20 +335,23 @@ def read_blocks(manifest: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
                 system, path = _file_system(uri)
                 with system.open_input_file(path) as file:
                     index = read_index(Package(file, size))
-                out, start, lengths = [], 0, []
-                for _, offset, length in index:
-                    if lengths and offset + length - start > block_bytes:
-                        out.append((uri, size, start, lengths))
-                        lengths = []
-                    if not lengths:
-                        start = offset
-                    lengths.append(length)
-                out += [(uri, size, start, lengths)] * bool(lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
-                    ["package", "size", "start", "lengths"])
-
-    return manifest.repartition("package").mapInArrow(blocks, "package string, size long, start long, lengths array<bigint>")
+                out: list[tuple] = []
+                for member, offset, length in index:
+                    last = out[-1] if out else None
+                    # a block ends at its size, with its member and at a wide gap between records
+                    if (last is None or last[2] != member or offset + length - last[3] > block_bytes
+                            or offset - (last[3] + last[4][-1] + last[5][-1]) > GAP_BYTES):
+                        out.append((uri, size, member, offset, [0], [length]))
+                    else:
+                        last[4].append(offset - last[3])
+                        last[5].append(length)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (
+                        pa.string(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))], _BLOCK)
+
+    packages = max(1, min(manifest.count(), MOST_TASKS))
+    return manifest.select("package", "size").repartition(packages, "package").mapInArrow(
+        blocks, "package string, size long, member string, start long, offsets array<bigint>, lengths array<bigint>")
 
 
 def read_archives(manifest: DataFrame, block_bytes: int = BLOCK_BYTES, with_payload: bool = True) -> DataFrame:
@@ -290,26 +360,37 @@ def read_archives(manifest: DataFrame, block_bytes: int = BLOCK_BYTES, with_payl
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()] + [pa.binary()] * with_payload
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
-    def rows_of(block: bytes, lengths: list[int]) -> Iterator[tuple]:
-        at = 0
-        for length in lengths:
-            fields, http, payload = parse_record(zlib.decompress(block[at:at + length], wbits=31))
-            at += length
-            digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-            revisit = fields["WARC-Type"] == "revisit"
-            if not revisit and digest_of(payload) != digest:
-                raise ValueError(f"payload of record {fields['WARC-Record-ID']} differs from its digest")
-            yield (int(fields["WARC-Page-ID"]) if fields["WARC-Page-ID"] else None, fields["WARC-Target-URI"] or None,
-                   int(http["Content-Length"]), digest, fields["WARC-Type"],
-                   int(fields["WARC-Refers-To-Page"]) if revisit else None, None if revisit else payload)[:len(names)]
+    def rows_of(block: bytes, offsets: list[int], lengths: list[int]) -> Iterator[tuple]:
+        for at, length in zip(offsets, lengths):
+            raw = block[at:at + length]
+            fields, http, payload = parse_record(zlib.decompress(raw, wbits=31) if raw[:2] == b"\x1f\x8b" else raw)
+            kind = fields["warc-type"]
+            if kind not in ("response", "revisit", "resource"):
+                continue
+            revisit, stated = kind == "revisit", fields.get("warc-payload-digest", "")
+            digest = stated.removeprefix("sha1:") or (None if revisit else digest_of(payload))
+            if not revisit and stated.startswith("sha1:") and digest_of(payload) != digest:
+                raise ValueError(f"payload of record {fields.get('warc-record-id')} differs from its digest")
+            size = int(http.get("content-length", 0)) if revisit else len(payload)
+            yield (_number(fields.get("warc-page-id")), fields.get("warc-target-uri") or None, size, digest, kind,
+                   _number(fields.get("warc-refers-to-page")), None if revisit else payload)[:len(names)]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for uri, size, start, lengths in zip(*(batch.column(n).to_pylist() for n in ("package", "size", "start", "lengths"))):
+            for uri, size, member, start, offsets, lengths in zip(*(batch.column(n).to_pylist() for n in _BLOCK)):
                 system, path = _file_system(uri)
                 with system.open_input_file(path) as file:
-                    block = Package(file, size).range(DATA, start, sum(lengths))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_of(block, lengths)), kinds)], names)
-
-    dealt = read_blocks(manifest, block_bytes).repartition("package", "start")
+                    block = Package(file, size).range(member, start, offsets[-1] + lengths[-1])
+                rows = list(rows_of(block, offsets, lengths))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    # the exchange holds ranges only, a few bytes for megabytes to read: their number, not its size, says how many tasks
+    total = manifest.agg(F.sum("size")).first()[0] or 0
+    tasks = max(1, min(-(-total // block_bytes), MOST_TASKS))
+    dealt = read_blocks(manifest, block_bytes).repartition(tasks, "package", "member", "start")
     return dealt.mapInArrow(read, schema + ", payload binary" * with_payload)
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text else None

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
+import json
 import os
 import sys
 import unicodedata
@@ -202,6 +204,69 @@ def test_package_directories(tmp_path, force):
             p.range("m1", 2, 100)
 
 
+def foreign_package(path):
+    """A package in the published form: two gzipped archives, a CDXJ and a gzipped CDX index, other kinds of records."""
+    def record(kind, url, body, http=True, **more):
+        block = (b"HTTP/1.0 200 OK\r\nserver:x\r\nContent-type: text/html;\r\n\tcharset=utf-8\r\n\r\n" + body) if http else body
+        fields = {"warc-type": kind, "WARC-Target-URI": url, "WARC-Record-ID": f"<urn:uuid:{url}>", "content-TYPE":
+                  "application/http;msgtype=response" if http else "application/warc-fields", **more, "Content-Length": str(len(block))}
+        return gzip.compress(b"WARC/1.0\r\n" + "".join(f"{k}:{v}\r\n" for k, v in fields.items()).encode() + b"\r\n" + block + b"\r\n\r\n")
+
+    def archive(records):
+        places, at = [], 0
+        for raw in records:
+            places.append((at, len(raw)))
+            at += len(raw)
+        return b"".join(records), places
+
+    a, at_a = archive([record("warcinfo", "i", b"software: x\r\n", False), record("response", "http://a.org/1", b"one", **{"WARC-Payload-Digest": f"sha1:{b32(b'one')}"}),
+                       record("request", "http://a.org/1", b"GET", **{"Content-Type": "application/http;msgtype=request"})])
+    b, at_b = archive([record("response", "http://b.org/2", b"two" * 9), record("resource", "urn:x", b"text", False)])
+    cdxj = "!OpenWayback-CDXJ 1.0\n" + "\n".join(f'org,a)/{i} 20200101000000 {json.dumps({"offset": str(o), "length": str(n), "filename": "a.warc.gz"})}' for i, (o, n) in enumerate(at_a))
+    cdx = " CDX N b a m s k r M S V g\n" + "\n".join(f"org,b)/{i} 20200101000000 http://b.org/{i} text/html 200 X - - {n} {o} b.warc.gz" for i, (o, n) in enumerate(at_b))
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("datapackage.json", "{}", compress_type=zipfile.ZIP_DEFLATED)
+        for name, data in (("archive/a.warc.gz", a), ("archive/b.warc.gz", b), ("indexes/index.cdxj", cdxj), ("indexes/index.cdx.gz", gzip.compress(cdx.encode())), ("pages/pages.jsonl", "{}")):
+            z.writestr(name, data)
+
+
+def test_a_package_made_elsewhere(spark, tmp_path):
+    path = str(tmp_path / "other.wacz")
+    foreign_package(path)
+    for block_bytes in (1, 1 << 20):
+        rows = warc.read_archives(warc.manifest_of(spark, [path]), block_bytes).collect()
+        assert sorted((r["url"], bytes(r["payload"]), r["record_type"], r["payload_digest"], r["payload_bytes"], r["page_id"]) for r in rows) == [
+            ("http://a.org/1", b"one", "response", b32(b"one"), 3, None), ("http://b.org/2", b"two" * 9, "response", b32(b"two" * 9), 27, None),
+            ("urn:x", b"text", "resource", b32(b"text"), 4, None)]
+
+
+def test_index_lines_are_cdxj(spark, tmp_path):
+    pages = spark.createDataFrame([(2, "https://www.b.org/x y", "p"), (1, "http://a.org/", "q")], PAGES).coalesce(1)
+    [m] = warc.write_archives(pages).collect()
+    with zipfile.ZipFile(m["package"].removeprefix("file:")) as z:
+        lines = z.read("indexes/index.cdxj").decode().split("\n")
+    assert lines == sorted(lines) and [x.split(" ", 2)[:2] for x in lines] == [["org,a)/", "20000101000000"], ["org,b)/x%20y", "20000101000000"]]
+    assert json.loads(lines[0].split(" ", 2)[2])["filename"] == "data.warc.gz"
+
+
+def test_ranges_are_read_by_many_tasks(spark):
+    """As many tasks as the bytes ask for, whatever the exchange of ranges weighs."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    manifest = warc.write_archives(pages)
+    size = manifest.agg({"size": "sum"}).first()[0]
+    rows = warc.read_archives(manifest, block_bytes=size // 20, with_payload=False)
+    assert rows.rdd.getNumPartitions() >= 20
+    assert len({r["p"] for r in rows.selectExpr("spark_partition_id() AS p").distinct().collect()}) > 8
+
+
+def test_record_kinds_of_a_table(spark):
+    first, want = {}, {}
+    for i, _, html in sorted(sf_pages()):
+        want[i] = first.setdefault(html or "", i)
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in run(spark, "op3_warc_packages")}
+    assert got == {i: ("response", None) if i == f else ("revisit", f) for i, f in want.items()}
+
+
 def test_broken_packages():
     with pytest.raises(ValueError):
         warc.Package(io.BytesIO(b"no archive at all"))
@@ -326,6 +391,35 @@ def test_main_text_keeps_wrapped_articles(wrap, tag):
     assert extraction.main_text(f"<body><div class='menu'>M</div><{wrap}>{inner}</{wrap.split()[0]}><footer>(c)</footer>") == f"Head {LONG}"
 
 
+def test_main_text_reads_attributes():
+    """Names of attributes and whole words count, not words inside other values."""
+    def page(inner):
+        return f"<body><article><h1>Title</h1><p>First words of the story here.</p>{inner}</article></body>"
+    base = "Title First words of the story here."
+    for tag in ('data-k="a hidden b"', 'title="the hidden cost"', 'style="color: red"', 'data-style="display:none"'):
+        assert extraction.main_text(page(f"<p {tag}>Kept.</p>")) == base + " Kept."
+    for tag in ("hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red; display : none"'):
+        assert extraction.main_text(page(f"<p {tag}>Gone.</p>")) == base
+    for name in ("comments", "newsletter", "cookie-notice", "reader_comments"):
+        gone = name != "reader_comments"
+        assert extraction.main_text(page(f'<section id="{name}"><p>Inside.</p></section>')) == base + ("" if gone else " Inside.")
+    for name in ("related-work", "social-history", "search", "forms"):
+        assert extraction.main_text(page(f'<section id="{name}"><p>Inside.</p></section>')) == base + " Inside."
+
+
+def test_main_text_never_is_a_notice():
+    notice = "<div class='cookie-notice'><p>" + "We use cookies to make this site better. " * 20 + "</p></div>"
+    story = "<h1>Story</h1><p>" + "Some words of a short story that was written. " * 4 + "</p>"
+    assert extraction.main_text(f"<body>{notice}<div>{story}</div></body>") == "Story " + ("Some words of a short story that was written. " * 4).strip()
+
+
+def test_main_text_keeps_short_blocks_between_adverts():
+    ad = "<div class='ad'><p>Buy now and save.</p></div>"
+    long = "A paragraph of the article that is long enough to rise above all that stands around it, twice over. "
+    page = f"<body><ul><li><a href='/'>Home</a></li><li><a href='/a'>All</a></li><li><a href='/b'>Us</a></li></ul><h1>Head</h1>{ad}<p>{long}</p>{ad}<p>Short.</p>{ad}<h2>Then</h2>{ad}<p>{long}</p></body>"
+    assert extraction.main_text(page) == f"Head {long}Short. Then {long}".strip()
+
+
 def test_main_text_keeps_most_of_the_text():
     for wrap in ("form id='aspnetForm'", "div class='widget'"):
         name = wrap.split()[0]

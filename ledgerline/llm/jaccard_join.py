@@ -6,7 +6,7 @@ equal sets are one point from the start.
 
 Unrelated texts are all at distance 1 from each other, where no pivot tells
 them apart. So the space falls first into blocks: shingles are put in one order,
-rare ones first (by a sketch of ``BUCKETS`` counts over the whole table; any
+rare ones first (by a sketch of 2^18 counts over the whole table; any
 order would do for exactness), and sets that link share one of the first
 n - ceil(percent * n / 100) + 1 shingles. A point's place in that order also bounds
 what it can share: the two sets have nothing in common before their first common
@@ -53,12 +53,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ledgerline.llm.minhash import connected, mix64, words_of
+from ledgerline.llm.sets import (SetReader, connected, digest_of, first_shingles, mix64, points_of, rarity, with_components,
+                                 words_of)
 from ledgerline.sources.tables import materialize
 
 SHINGLE = 4
 PERCENT = 85
-BUCKETS = 1 << 18            # counts of the sketch that orders shingles
 REACH_STEPS = 4              # the outside begins at 4 r
 PIVOTS = 8                   # per block and step
 SMALL = 96                   # points of a block that is joined as it is
@@ -84,82 +84,29 @@ def shingle_set(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(mix64(runs))
 
 
-def _bucket(x: np.ndarray) -> np.ndarray:
-    return (x >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
-
-
-def _counted(size: int):
-    """An Arrow function texts -> (bucket, n): how many shingles of this task's texts fall into each bucket."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held, waiting = np.zeros(BUCKETS, np.int64), [], 0
-        for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                held.append(_bucket(shingle_set(words_of(text.as_py()), size)))
-                waiting += len(held[-1])
-                if waiting > BUCKETS:
-                    counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
-                    held, waiting = [], 0
-        if held:
-            counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
-        held = np.flatnonzero(counts)
-        if len(held):
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(counts[held], pa.int64())], ["bucket", "n"])
-
-    return counted
+def set_of(size: int):
+    """A text's set of word n-grams, A-Z lower-cased."""
+    return lambda text: shingle_set(words_of(text), size)
 
 
 def _prefixed(size: int, percent: int, counts: np.ndarray):
     """An Arrow function (doc_id, text) -> (doc_id, n_shingles, digest, first): the set's rarest shingles, rarest first."""
+    of = set_of(size)
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             for start in range(0, len(ids), 1024):
                 part = ids[start:start + 1024]
-                sizes, digests, firsts = [], [], []
-                for i in range(len(part)):
-                    s = shingle_set(words_of(texts[start + i].as_py()), size)
-                    n = len(s)
-                    k = n + percent * -n // 100 + 1 if n else 0   # n - ceil(percent * n / 100) + 1
-                    sizes.append(n)
-                    digests.append(xxh3_128_digest(s.tobytes()))
-                    firsts.append(s[np.lexsort((s, counts[_bucket(s)]))[:k]].astype(np.int64, copy=False))
+                found = [of(texts[start + i].as_py()) for i in range(len(part))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "first"])
+                    [pa.array(part, pa.int64()), pa.array(list(map(len, found)), pa.int64()), pa.array(list(map(digest_of, found)), pa.binary()),
+                     pa.array([first_shingles(s, counts, percent).astype(np.int64, copy=False) for s in found], pa.list_(pa.int64()))],
+                    ["doc_id", "n_shingles", "digest", "first"])
 
     return prefixed
 
 
-def _sets(size: int):
-    """An Arrow function (doc_id, text, digest, rows) -> (id, rows, shingles) of the texts whose set has that digest."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            ids, digests, rows = (batch.column(i).to_pylist() for i in (0, 2, 3))
-            for start in range(0, len(ids), 256):
-                found = [(i, shingle_set(words_of(texts[i].as_py()), size)) for i in range(start, min(start + 256, len(ids)))]
-                found = [(i, s) for i, s in found if xxh3_128_digest(s.tobytes()) == digests[i]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([rows[i] for i, _ in found], pa.int64()),
-                     pa.array([s.astype(np.int64, copy=False) for _, s in found], pa.list_(pa.int64()))], ["id", "rows", "shingles"])
-
-    return sets
-
-
-def rarity(source: DataFrame, size: int) -> np.ndarray:
-    """Counts of the sketch over all texts: at most ``BUCKETS`` numbers, whatever the table holds."""
-    sums = source.select("text").mapInArrow(_counted(size), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in sums.collect():
-        counts[r["bucket"]] = r["n"]
-    return counts
-
-
 # ----------------------------------------------------------------- blocks
 def blocks_of(points: DataFrame) -> DataFrame:
     """(key, id, n, pos, score): the blocks that hold two points at least.
@@ -185,60 +132,17 @@ def _mixed(members: DataFrame) -> DataFrame:
     return members.join(keys.select("key"), "key", "left_semi")
 
 
-class _Join:
-    """The running state of one join: sets read so far, links found so far and their components."""
-
-    def __init__(self, source: DataFrame, points: DataFrame, size: int, percent: int):
-        self.source, self.points, self.size, self.percent = source, points, size, percent
-        self.sets, self.edges, self.labels = None, None, None
-        self.r = 1 - percent / 100
-
-    def fetch(self, ids: DataFrame) -> DataFrame:
-        """Sets of ``ids``: those not read before come from their texts and are written, each once."""
-        new = ids if self.sets is None else ids.join(self.sets.select("id"), "id", "left_anti")
-        wanted = materialize(self.points.select("id", "digest", "rows").join(new, "id"), "ids")
-        texts = self.source.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "digest", "rows")
-        sets = texts.mapInArrow(_sets(self.size), "id long, rows long, shingles array<bigint>")
-        # a set of several rows is taken once; the others are not shuffled for that
-        once = sets.where("rows = 1")
-        if wanted.where("rows > 1").take(1):
-            once = once.unionByName(sets.where("rows > 1").dropDuplicates(["id"]))
-        read = materialize(once.drop("rows"), "sets")
-        self.sets = read if self.sets is None else self.sets.unionByName(read)
-        return self.sets.join(ids, "id", "left_semi")
-
-    def near(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose first shingles leave it open that they link.
-
-        With c first shingles in common, what two sets share is c and, of the one
-        whose first shingles end earlier in the order, the rest at most.
-        """
-        firsts = self.points.select("id", "n", "first")
-        theirs = firsts.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("first").alias("pivot_first"))
-        theirs = theirs.join(pairs.select("pivot").distinct(), "pivot", "left_semi")
-        both = pairs.join(firsts, "id").join(theirs, "pivot")
-        rest = F.greatest(F.col("n") - F.size("first"), F.col("pivot_n") - F.size("pivot_first"))
-        shared = F.least(F.size(F.array_intersect("first", "pivot_first")) + rest, F.col("n"), F.col("pivot_n"))
-        return both.where(100 * shared >= self.percent * (F.col("n") + F.col("pivot_n") - shared)).select("id", "pivot")
+class Join:
+    """The running state of one join: links found so far and their components."""
+
+    def __init__(self, reader: SetReader):
+        self.reader, self.percent, self.edges, self.labels = reader, reader.percent, None, None
+        self.r = 1 - reader.percent / 100
 
     def distances(self, pairs: DataFrame, links_only: bool = True) -> DataFrame:
-        """(id, pivot, shared, total) of distinct pairs; those that link are remembered.
-
-        With ``links_only`` pairs that can't link are left out before their sets are read.
-        """
-        pairs = materialize(pairs, "pairs")
-        if links_only:
-            pairs = materialize(self.near(pairs), "near-pairs")
-        sets = self.fetch(materialize(pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct(), "met"))
-        mine = sets.select("id", "shingles")
-        # few sets stand on the pivots' side: small enough, they are broadcast and the others stay where they are
-        theirs = materialize(sets.join(pairs.select(F.col("pivot").alias("id")).distinct(), "id", "left_semi")
-                             .select(F.col("id").alias("pivot"), F.col("shingles").alias("pivot_shingles")), "pivot-sets")
-        shared = F.size(F.array_intersect("shingles", "pivot_shingles"))
-        met = pairs.join(mine, "id").join(theirs, "pivot").select(
-            "id", "pivot", shared.alias("shared"), (F.size("shingles") + F.size("pivot_shingles")).alias("both"))
-        found = materialize(met.withColumn("total", F.col("both") - F.col("shared")).drop("both"), "distances")
-        links = found.where(100 * F.col("shared") >= self.percent * F.col("total")).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+        """(id, pivot, shared, total) of distinct pairs; those that link are remembered."""
+        found = self.reader.overlaps(pairs, links_only)
+        links = self.reader.linked(found).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
         if links.take(1):
             self.edges = links if self.edges is None else self.edges.unionByName(links)
             self.labels = materialize(connected(self.edges), "labels")
@@ -262,7 +166,7 @@ class _Join:
             "key", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
         met = members.join(best, "key")
         pairs = met.where((F.col("id") != F.col("pivot")) & _possible(self.percent, "pivot"))
-        self.distances(_once(pairs))
+        self.distances(once(pairs))
         return self.open(met.where("id <> pivot").select(*members.columns))
 
     # -------------------------------------------------------------- regions
@@ -275,7 +179,7 @@ class _Join:
         met = members.join(pivots, "key")
         wanted = met.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
         pairs = wanted.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot")
-        found = self.distances(_once(pairs), links_only=False)
+        found = self.distances(once(pairs), links_only=False)
         both = found.unionByName(found.select(F.col("pivot").alias("id"), F.col("id").alias("pivot"), "shared", "total"))
         # of its own blocks' pivots only: a pivot does not gather all that it met
         asked = wanted.select("id", F.explode("pivots").alias("pivot"))
@@ -319,30 +223,35 @@ class _Join:
                 (F.col("label") != F.col("pivot_label")) & _possible(self.percent, "pivot")
                 & (F.col("home") | F.col("pivot_home"))
                 & F.coalesce(F.abs(F.col("near") - F.col("pivot_near")) <= self.r + MARGIN, F.lit(True)))
-            self.distances(_once(met.select("id", F.col("pivot_id").alias("pivot"))))
+            self.distances(once(met.select("id", F.col("pivot_id").alias("pivot"))))
             left = members.join(chosen.select("key", F.col("pivot_id").alias("id")), ["key", "id"], "left_anti")
             members = self.open(left)
             groups, turn = groups * GROWTH, turn + 1
 
 
-def _once(pairs: DataFrame) -> DataFrame:
+def once(pairs: DataFrame) -> DataFrame:
     """Distinct pairs, whichever of the two was the pivot (the larger id, if both were)."""
     both = pairs.groupBy(F.least("id", "pivot").alias("low"), F.greatest("id", "pivot").alias("high")).agg(F.max("pivot").alias("pivot"))
     return both.select(F.when(F.col("pivot") == F.col("high"), F.col("low")).otherwise(F.col("high")).alias("id"), "pivot")
 
 
+def members_of(blocks: DataFrame) -> DataFrame:
+    """Blocks as members of a join: every point is its own component and at home."""
+    return materialize(blocks.select(
+        "key", F.col("key").alias("block"), "id", "n", "pos", "score", F.col("id").alias("label"),
+        F.lit(True).alias("home"), F.lit(None).cast("double").alias("near")), "members")
+
+
 def _size(members: DataFrame) -> DataFrame:
     return members.withColumn("size", F.count("*").over(Window.partitionBy("key")))
 
 
-def components(points: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """(node, label) of the points (id, digest, rows, n, first) that link with another one; None if none does."""
-    members = materialize(blocks_of(points).select(
-        "key", F.col("key").alias("block"), "id", "n", "pos", "score", F.col("id").alias("label"),
-        F.lit(True).alias("home"), F.lit(None).cast("double").alias("near")), "members")
+def components(points: DataFrame, reader: SetReader) -> DataFrame | None:
+    """(node, label) of the points (id, n, first) that link with another one; None if none does."""
+    members = members_of(blocks_of(points))
     if not members.take(1):
         return None
-    join = _Join(source, points, size, percent)
+    join = Join(reader)
     members = join.collapse(members)
     done, turn = None, 1
     while True:
@@ -364,20 +273,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable over links)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    counts = rarity(source, size)
+    counts = rarity(source, set_of(size))
     known = materialize(source.mapInArrow(
         _prefixed(size, percent, counts), "doc_id long, n_shingles long, digest binary, first array<bigint>"), "firsts")
-    # rows of equal sets are one point
-    named = known.where("doc_id IS NOT NULL AND n_shingles > 0")
-    repeated = named.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows")).where("rows > 1")
-    points = materialize(
-        named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("first").alias("first"))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("digest")))
-        .join(repeated, "id", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), "points")
-    labels = components(points.where("nth = 1").drop("nth"), source, size, percent)
-    named = points.select("digest", "id")
-    if labels is not None:
-        named = named.join(labels, named["id"] == labels["node"], "left").select("digest", F.coalesce("label", "id").alias("id"))
-    own = known.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
-    return own.join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")).alias("component_id"))
+    points, names = points_of(known, ["first"])
+    return with_components(known, names, components(points, SetReader(source, points, set_of(size), percent)))

@@ -8,20 +8,24 @@ own round, so every coordinate is filled even for one shingle, and most
 documents end after a round or two. Coordinates agree with probability equal
 to the likeness, with the concentration of independent samples.
 
-Bands of R coordinates put documents into buckets. Documents with the same word
-sequence are one member from the start. Links are confirmed on full sets. In a
-bucket the members are not paired with each other: a hub (the member with the
-most company in all its buckets) is compared with every member of another
-component; it has then met the whole bucket and leaves it. Rounds go on until
-the members of each bucket belong to one component, so no pair of a bucket that
-could join two components stays unseen, and a group of copies takes one or two
-rounds. Each round tries more hubs than the last.
+Bands of R coordinates put documents into buckets. Documents with equal sets are
+one member from the start. Links are confirmed on full sets, which are read only
+for pairs whose rarest shingles leave a link open (an exact bound). The members
+of a bucket are not paired with each other: first all meet the bucket's hub (the
+member with the most company in all its buckets), which makes a group of copies
+one component in one round. What is left are members of buckets that still hold
+two components. They are verified exactly: two of them can link only if they
+share one of their rarest shingles, so they meet in blocks of these, hub by hub,
+until every block belongs to one component. No pair of a bucket that could join
+two components stays unseen.
 
 Defined results: NULL and empty texts and texts without words have an empty set
 and are linked with nothing; rows with a NULL doc_id are linked with nothing,
 their component_id is NULL and they are kept; repeated rows stand or fall
-together (rows of one doc_id are one document); equal sets link; fewer than
-five words are one shingle; an empty table gives an empty result.
+together; of different texts under one doc_id the set with the smallest digest is
+compared, the others link with equal sets only; equal sets link; fewer than five
+words are one shingle; very long texts are whole sets; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.jaccard_join import Join, blocks_of, members_of, once
+from ledgerline.llm.sets import (C as _C, SetReader, connected, digest_of, first_shingles, mix64, points_of, rarity,  # noqa: F401
+                                 with_components, words_of)
 from ledgerline.sources.tables import materialize
 
 SHINGLE = 5
@@ -40,17 +47,8 @@ BANDS, ROWS = 24, 5          # likeness 0.85 misses all bands with probability u
 BANDS_80 = 36                # of ROWS coordinates: the same for likeness 0.8
 GROUP_SHINGLES = 400_000     # shingles sketched at once by one worker
 LINK_PERCENT = 85
-HUB_GROWTH = 16
 
 _EMPTY = np.uint64(2**64 - 1)
-_C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-def mix64(x: np.ndarray) -> np.ndarray:
-    """The finaliser of a 64-bit generator: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def shingle_set(words: list[bytes]) -> np.ndarray:
@@ -68,11 +66,6 @@ def shingle_set(words: list[bytes]) -> np.ndarray:
     return np.unique(mix64(runs))
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """A-Z lower-cased words between white space of ASCII."""
-    return text.lower().split() if text else []
-
-
 def sketches(sets: list[np.ndarray], t: int = BANDS * ROWS) -> np.ndarray:
     """One row of t filled coordinates for each non-empty set."""
     filled = np.full((len(sets), t), _EMPTY, np.uint64)
@@ -102,124 +95,33 @@ def band_keys(filled: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nd
     return keys
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch], bands: int = BANDS, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    from xxhash import xxh3_128_digest
+def set_of(text: bytes | None) -> np.ndarray:
+    """A text's set of five-word shingles."""
+    return shingle_set(words_of(text))
 
-    def emit(ids, sets, digests):
+
+def _sketch_batches(batches: Iterator[pa.RecordBatch], counts: np.ndarray, percent: int, bands: int = BANDS, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    def emit(ids, sets):
         keys = band_keys(sketches([s for s in sets if len(s)], bands * rows), bands, rows)
         full = iter(keys.astype(np.int64, copy=False).tolist())
         return pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
-            pa.array([next(full) if len(s) else [] for s in sets], pa.list_(pa.int64()))], ["doc_id", "n_shingles", "words_key", "bands"])
+            pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(list(map(digest_of, sets)), pa.binary()),
+            pa.array([next(full) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+            pa.array([first_shingles(s, counts, percent).astype(np.int64, copy=False) for s in sets], pa.list_(pa.int64()))],
+            ["doc_id", "n_shingles", "digest", "bands", "first"])
 
     for batch in batches:
-        ids, sets, digests, held = [], [], [], 0
+        ids, sets, held = [], [], 0
         texts = batch.column(1).cast(pa.binary())
         for i, doc_id in enumerate(batch.column(0).to_pylist()):
-            words = words_of(texts[i].as_py())
-            sets.append(shingle_set(words))
+            sets.append(set_of(texts[i].as_py()))
             ids.append(doc_id)
-            digests.append(xxh3_128_digest(b" ".join(words)))
-            held += len(words)
+            held += len(sets[-1])
             if held > GROUP_SHINGLES:
-                yield emit(ids, sets, digests)
-                ids, sets, digests, held = [], [], [], 0
+                yield emit(ids, sets)
+                ids, sets, held = [], [], 0
         if ids:
-            yield emit(ids, sets, digests)
-
-
-def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-        for start in range(0, len(ids), 256):
-            part = ids[start:start + 256]
-            sets = [shingle_set(words_of(texts[start + i].as_py())).astype(np.int64, copy=False) for i in range(len(part))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
-
-
-def connected(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node reachable over edges (a, b).
-
-    Alternates two steps that hook neighbours onto the smallest one around a
-    node until nothing moves; a star of any size is done in one pair of steps.
-    """
-    edges = materialize(edges.where("a <> b").distinct(), "edges")
-    seen = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.explode(F.array(
-            F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = materialize(small.where("a <> b").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if now == seen:
-            return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-        seen = now
-
-
-def _open(members: DataFrame, percent: int) -> DataFrame:
-    """Members of buckets in which two components could still be joined.
-
-    ``reach`` is the share of a set's shingles that any other set holds. Sets A
-    and B have a likeness of 1 / (1 / reach(A) + 1 / reach(B) - 1) at most, so a
-    member goes where it falls short even with the bucket's widest reach.
-    """
-    most = F.lit(1 + 100 / percent + 1e-9)
-    widest = members.groupBy("key").agg(F.max("reach").alias("widest"))
-    left = members.join(widest, "key").where((F.col("reach") > 0) & (1 / F.col("reach") + 1 / F.col("widest") <= most)).drop("widest")
-    return materialize(_mixed(materialize(left, "reached")), "members")
-
-
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold two components at least."""
-    keys = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return members.join(keys.select("key"), "key", "left_semi")
-
-
-def _with_reach(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with their ``reach``, and the sets that are still in a bucket (a round moves no others)."""
-    sets = materialize(sets.join(members.select("id").distinct(), "id", "left_semi"), "sets")
-    own = (sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
-           .agg(F.count("*").alias("sets"), F.min("id").alias("id")).where("sets = 1")
-           .groupBy("id").agg(F.count("*").alias("own")))
-    reached = (members.drop("reach").join(own, "id", "left")
-               .withColumn("reach", (F.col("n") - F.coalesce("own", F.lit(0))) / F.col("n")).drop("own"))
-    return reached, sets
-
-
-def _pairs(members: DataFrame, hubs: int, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Members against the hubs of their bucket, and the hubs chosen.
-
-    After the first round two members that share several buckets meet in the
-    first of them only (where neither is that bucket's hub yet, they meet there
-    in a later round).
-    """
-    if turn:
-        own = members.groupBy("id").agg(F.collect_set("key").alias("keys"))  # a key per band at most
-        members = members.join(own, "id")
-    else:
-        members = members.withColumn("keys", F.array("key"))
-    group = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(hubs))
-    chosen = members.groupBy("key", group.alias("g")).agg(
-        F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "reach", "label", "keys")).alias("h"))
-    chosen = chosen.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"),
-                           F.col("h.reach").alias("hub_reach"), F.col("h.label").alias("hub_label"), F.col("h.keys").alias("hub_keys"))
-    # the most shingles that the two can share, by size and by what others hold of them
-    both = F.least(F.col("n") * F.col("reach"), F.col("hub_n") * F.col("hub_reach")) + 1e-6
-    possible = 100 * both >= percent * (F.col("n") + F.col("hub_n") - both)
-    here = F.col("key") == F.array_min(F.array_intersect("keys", "hub_keys"))
-    met = members.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & possible & here)
-    # two hubs meet twice, once from either side: the smaller id is named first, and one pair is left
-    sides = [("id", "hub"), ("label", "hub_label"), ("n", "hub_n")]
-    turned = F.col("id") > F.col("hub")
-    pairs = met.select(
-        *[F.when(turned, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in sides],
-        *[F.when(turned, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in sides]).distinct()
-    return pairs, chosen.select("key", F.col("hub").alias("id"))
+            yield emit(ids, sets)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT,
@@ -230,50 +132,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     likeness misses all bands with probability (1 - (percent / 100) ** rows) ** bands.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    counts = rarity(source, set_of)
     sketched = materialize(source.mapInArrow(
-        lambda batches: _sketch_batches(batches, bands, rows), "doc_id long, n_shingles long, words_key binary, bands array<bigint>"), "sketches")
-    named = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
-    first = named.groupBy("words_key").agg(F.min("doc_id").alias("rep"))
-    labels = _link(source, named.join(first, "words_key").where("doc_id = rep"), percent)
-    joined = (sketched.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("words_key")).alias("words_key"))
-              .join(first, "words_key", "left"))
-    labelled = joined.join(labels, joined["rep"] == labels["node"], "left")
-    known = F.col("doc_id").isNotNull()
-    return (labelled.select("doc_id", "n_shingles", F.when(known, F.coalesce("label", "rep", "doc_id")).alias("component_id"))
-            .withColumn("kept", ~known | (F.col("doc_id") == F.col("component_id"))))
-
-
-def _link(source: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of the representatives that are linked with another one."""
-    thrown = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    shared = thrown.groupBy("key").agg(F.count("*").alias("company")).where("company > 1")
-    company = materialize(thrown.join(shared, "key"), "buckets")
-    scores = company.groupBy("id").agg(F.sum("company").alias("score"))
-    members = materialize(company.drop("company").join(scores, "id").withColumn("label", F.col("id")), "members")
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialize(source.join(ids, "doc_id", "left_semi").mapInArrow(_set_batches, "id long, shingles array<bigint>"), "sets")
-
-    edges = None
-    labels = members.select(F.col("id").alias("node"), F.col("id").alias("label")).where("false")
-    members, sets = _with_reach(members, sets)
-    members = _open(members, percent)
-    hubs, turn = 1, 0
-    while members.take(1):
-        pairs, used = _pairs(members, hubs, turn, percent)
-        mine = sets.select("id", "shingles")
-        theirs = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hub_shingles"))
-        shared = F.size(F.array_intersect("shingles", "hub_shingles"))
-        found = materialize(
-            pairs.join(mine, "id").join(theirs, "hub").withColumn("shared", shared)
-            .where(100 * F.col("shared") >= percent * (F.col("n") + F.col("hub_n") - F.col("shared")))
-            .select(F.col("label").alias("a"), F.col("hub_label").alias("b")).distinct(), "links")
-        members = members.join(used, ["key", "id"], "left_anti")
-        if found.take(1):
-            edges = found if edges is None else edges.unionByName(found)
-            labels = materialize(connected(edges), "labels")
-            members = (members.drop("label").join(labels, members["id"] == labels["node"], "left")
-                       .withColumn("label", F.coalesce("label", "id")).drop("node"))
-        members, sets = _with_reach(materialize(_mixed(members), "members"), sets)
-        members = _open(members, percent)
-        hubs, turn = hubs * HUB_GROWTH, turn + 1
-    return labels
+        lambda batches: _sketch_batches(batches, counts, percent, bands, rows),
+        "doc_id long, n_shingles long, digest binary, bands array<bigint>, first array<bigint>"), "sketches")
+    points, names = points_of(sketched, ["bands", "first"])
+    rows_of = with_components(sketched, names, _link(points, SetReader(source, points, set_of, percent)))
+    return rows_of.withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+
+
+def _link(points: DataFrame, reader: SetReader) -> DataFrame | None:
+    """(node, label) of the points that link with another one; None if none does."""
+    thrown = points.select("id", "n", F.explode("bands").alias("key"))
+    shared = materialize(thrown.groupBy("key").agg(F.count("*").alias("company")).where("company > 1"), "shared")
+    # a point has one row per band at most, so its score is a window over few rows
+    company = thrown.join(shared, "key").withColumn("score", F.sum("company").over(Window.partitionBy("id")))
+    members = materialize(company.select("key", "id", "n", "score", F.col("id").alias("label")), "members")
+    join = Join(reader)
+    hubs = members.groupBy("key").agg(F.max_by(F.struct("id", "n"), F.struct("score", -F.col("id"))).alias("h")).select(
+        "key", F.col("h.id").alias("pivot"), F.col("h.n").alias("pivot_n"))
+    met = members.join(hubs, "key").where("id <> pivot")
+    fits = 100 * F.least("n", "pivot_n") >= reader.percent * F.greatest("n", "pivot_n")
+    join.distances(once(met.where(fits).select("id", "pivot")))
+    still = materialize(join.open(met.select(*members.columns)).select("id").distinct(), "still")
+    if still.take(1):
+        rest = points.join(still, "id", "left_semi")
+        join.finish(join.open(members_of(blocks_of(rest))))
+    return join.labels

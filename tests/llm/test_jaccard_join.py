@@ -6,13 +6,14 @@ import os
 import random
 import sys
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 from ledgerline.llm import jaccard_join as jj  # noqa: E402
-from ledgerline.llm import queries  # noqa: E402
+from ledgerline.llm import queries, sets  # noqa: E402
 from test_llm_operators import SF, documents, sf_rows  # noqa: E402
 
 
@@ -64,8 +65,8 @@ def test_regions_are_split(spark, monkeypatch):
     """Families that share rare passages stand in one block; regions part them."""
     monkeypatch.setattr(jj, "SMALL", 6)
     steps = []
-    split = jj._Join.split
-    monkeypatch.setattr(jj._Join, "split", lambda self, members, turn: (lambda pw: (steps.append((pw[0].count(), pw[1].count())), pw)[1])(
+    split = jj.Join.split
+    monkeypatch.setattr(jj.Join, "split", lambda self, members, turn: (lambda pw: (steps.append((pw[0].count(), pw[1].count())), pw)[1])(
         split(self, members, turn)))
     rng, rows = random.Random(3), []
     for b in range(10):
@@ -75,16 +76,15 @@ def test_regions_are_split(spark, monkeypatch):
             at = rng.randrange(90)
             rows.append((len(rows), " ".join(body[:at] + "one rare passage of five words".split() + body[at:])))
     # the shared passage is put first in the order, so that it is a block
-    monkeypatch.setattr(jj, "rarity", lambda source, size: _passage_first(size))
+    monkeypatch.setattr(jj, "rarity", lambda source, of: _passage_first(of))
     got, _ = found(spark, rows)
     assert got == brute.components(rows, 85, 4)
     assert any(parts for parts, _ in steps)
 
 
-def _passage_first(size):
-    import numpy as np
-    counts = np.full(jj.BUCKETS, 9, np.int64)
-    counts[jj._bucket(jj.shingle_set(b"one rare passage of five words".split(), size))] = 0
+def _passage_first(of):
+    counts = np.full(sets.BUCKETS, 9, np.int64)
+    counts[sets.bucket(of(b"one rare passage of five words"))] = 0
     return counts
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.sources.tables import materialize
 
 BUCKETS = 1 << 18            # counts of the sketch that orders shingles
+BROADCAST_ROWS = 500_000     # of ids and pairs: 20 MB at most
 
 C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -94,6 +95,11 @@ def connected(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def held(rows: DataFrame) -> DataFrame:
+    """Written rows of a few numbers: broadcast if there are ``BROADCAST_ROWS`` at most, else joined by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 class SetReader:
     """Exact overlaps of pairs of points.
 
@@ -121,8 +127,9 @@ class SetReader:
     def fetch(self, ids: DataFrame) -> DataFrame:
         """Sets of ``ids``: those not read before come from their texts and are written, each once."""
         new = ids if self.sets is None else ids.join(self.sets.select("id"), "id", "left_anti")
-        wanted = materialize(self.points.select("id", "digest", "rows").join(new, "id"), "ids")
-        texts = self.source.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "digest", "rows")
+        wanted = materialize(self.points.select("id", "digest", "rows").join(held(materialize(new, "new-ids")), "id"), "ids")
+        # texts stay where they are as long as the ids are few
+        texts = self.source.join(held(wanted.withColumnRenamed("id", "doc_id")), "doc_id").select("doc_id", "text", "digest", "rows")
         set_reader = SetReader(None, None, self.set_of, self.percent)      # what the tasks need of it
         sets = texts.mapInArrow(set_reader._read, "id long, rows long, shingles array<bigint>")
         # a set of several rows is taken once; the others are not shuffled for that
@@ -131,7 +138,7 @@ class SetReader:
             once = once.unionByName(sets.where("rows > 1").dropDuplicates(["id"]))
         read = materialize(once.drop("rows"), "sets")
         self.sets = read if self.sets is None else self.sets.unionByName(read)
-        return self.sets.join(ids, "id", "left_semi")
+        return self.sets.join(held(ids), "id", "left_semi")
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose first shingles leave it open that they link.
@@ -141,8 +148,8 @@ class SetReader:
         """
         firsts = self.points.select("id", "n", "first")
         theirs = firsts.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("first").alias("pivot_first"))
-        theirs = theirs.join(pairs.select("pivot").distinct(), "pivot", "left_semi")
-        both = pairs.join(firsts, "id").join(theirs, "pivot")
+        theirs = theirs.join(held(materialize(pairs.select("pivot").distinct(), "pivots")), "pivot", "left_semi")
+        both = firsts.join(held(pairs), "id").join(theirs, "pivot")
         rest = F.greatest(F.col("n") - F.size("first"), F.col("pivot_n") - F.size("pivot_first"))
         common = F.size(F.array_intersect("first", "pivot_first"))
         # sets that link have a first shingle in common
@@ -157,10 +164,11 @@ class SetReader:
         sets = self.fetch(materialize(pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct(), "met"))
         mine = sets.select("id", "shingles")
         # few sets stand on the pivots' side: small enough, they are broadcast and the others stay where they are
-        theirs = materialize(sets.join(pairs.select(F.col("pivot").alias("id")).distinct(), "id", "left_semi")
+        pivots = materialize(pairs.select(F.col("pivot").alias("id")).distinct(), "pivots")
+        theirs = materialize(sets.join(held(pivots), "id", "left_semi")
                              .select(F.col("id").alias("pivot"), F.col("shingles").alias("pivot_shingles")), "pivot-sets")
         shared = F.size(F.array_intersect("shingles", "pivot_shingles"))
-        met = pairs.join(mine, "id").join(theirs, "pivot").select(
+        met = mine.join(held(pairs), "id").join(theirs, "pivot").select(
             "id", "pivot", shared.alias("shared"), (F.size("shingles") + F.size("pivot_shingles")).alias("both"))
         return materialize(met.withColumn("total", F.col("both") - F.col("shared")).drop("both"), "overlaps")
 

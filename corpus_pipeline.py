@@ -3,6 +3,11 @@
 Each stage is (name, function of (spark, docs, sf_dir)); its result is written
 and read again as the next stage's documents. All but the last return the
 columns of documents.
+
+Defined results, for every stage: NULL texts are empty texts and NULL ids, sources
+and languages are values of their own; very long texts are taken whole; an empty
+table gives an empty result with the same columns; further columns pass through
+all stages but the last.
 """
 
 from __future__ import annotations
@@ -14,29 +19,39 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import minhash, mixing, packing, quality, tokens
 from ledgerline.session import checkpoint_dir
-from ledgerline.sources.tables import read_table
+from ledgerline.sources.tables import materialize, read_table
 
 NEAR_PERCENT = 80   # op8 links at 85, by its contract
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the outlier test reject go."""
+    """Documents that the base rules or the outlier test reject go; repeated rows are judged alike."""
     return quality.filter_quality(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (likeness 0.8 or more) the document with the smallest doc_id stays."""
-    dropped = minhash.near_duplicates(docs, percent=NEAR_PERCENT, bands=minhash.BANDS_80).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies (likeness 0.8 or more) the document with the smallest doc_id stays.
+
+    Of equal rows of that document one stays; rows with a NULL doc_id and texts
+    without words are linked with nothing and stay.
+    """
+    found = minhash.near_duplicates(docs, percent=NEAR_PERCENT, bands=minhash.BANDS_80).select("doc_id", "kept")
+    found = materialize(found, "near-dedup")
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    left = docs.join(dropped, "doc_id", "left_anti")
+    # only rows of repeated ids are compared with each other
+    once = left.join(repeated, "doc_id", "left_anti").unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates())
+    return once.select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources take them."""
+    """Documents as often as the target weights of their sources take them; a document without words as often as its source's rate says."""
     return mixing.mix(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences."""
+    """Pieces of the documents and their places in sequences; every row, repeated or not, is packed."""
     return packing.pack(docs, tokens.tokenizer_path("word_bpe_49k.json"))
 
 

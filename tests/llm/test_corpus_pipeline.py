@@ -80,6 +80,17 @@ def test_near_dedup_of_a_table(spark):
     assert stays == sorted(i for i, v in label.items() if i == v)
 
 
+def test_equal_rows_of_a_kept_document(spark):
+    """One of the equal rows of a kept document stays; other rows of its id and rows without id stay."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "en", "a", 1)] * 3 + [(1, text, "en", "b", 1), (2, text + " end", "en", "a", 1), (3, "alone", "en", "a", 1), (3, "alone", "en", "a", 1),
+                                           (None, text, "en", "a", 1), (None, text, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["source"]) for r in out.collect()), key=str) == [(1, "a"), (1, "b"), (3, "a"), (None, "a"), (None, "a")]
+
+
 def test_odd_and_empty_documents(spark):
     for kind in ("odd", "empty"):
         docs = documents(spark, kind)

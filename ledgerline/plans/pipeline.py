@@ -83,6 +83,8 @@ LAYER_TABLES = frozenset({
 })
 # Facts that the period filters of W26-W31 read: a folder per month, so other months are not opened.
 PARTITIONED = {"claims_checked": ("month",), "gold": ("month",)}
+# The claims by their key: versions are counted, deduplicated and compared on it without an exchange.
+BUCKETED = {"bronze_claims": tuple(CLAIM_KEY)}
 PIN_SECONDS = 24 * 3600.0       # how long a pipeline keeps the versions that it reads
 _STAGED: dict[tuple[str, str, str], Version] = {}
 
@@ -159,7 +161,7 @@ class ClaimsPipeline:
         """The version of a layer for this input, built if there is none; pinned for this application."""
         key = (self.store.root, name, self._layer_key(name))
         if key not in _STAGED:
-            _STAGED[key] = self.store.stage(name, key[2], build, PARTITIONED.get(name, ()))
+            _STAGED[key] = self.store.stage(name, key[2], build, PARTITIONED.get(name, ()), BUCKETED.get(name, ()))
             self.store.pin([_STAGED[key]], PIN_SECONDS)
         return _STAGED[key]
 

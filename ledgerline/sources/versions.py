@@ -97,6 +97,8 @@ class Version:
     created: float
     schema: str                 # Spark's JSON, in the builder's column order
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
     files: dict[str, int] = field(default_factory=dict, compare=False)
 
 
@@ -110,18 +112,26 @@ class VersionStore:
     def path(self, v: Version) -> str:
         return f"{self.root}/data/{v.layer}/{v.version}"
 
+    @staticmethod
+    def _table(layer: str, version: str) -> str:
+        return f"version_{layer}_{version.replace('-', '_')}"
+
     # ------------------------------------------------------------- versions
     def versions(self, layer: str) -> list[Version]:
         """Complete versions, oldest first."""
         folder = f"{self.root}/manifests/{layer}"
         found = [json.loads(self.files.read(f"{folder}/{n}")) for n in self.files.names(folder) if not n.startswith(".")]
-        return sorted((Version(**{**v, "partition_by": tuple(v["partition_by"])}) for v in found), key=lambda v: (v.created, v.version))
+        return sorted((Version(**{**v, "partition_by": tuple(v["partition_by"]), "bucket_by": tuple(v["bucket_by"])}) for v in found), key=lambda v: (v.created, v.version))
 
-    def stage(self, layer: str, fingerprint: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> Version:
+    def stage(self, layer: str, fingerprint: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (),
+              bucket_by: Sequence[str] = (), buckets: int | None = None) -> Version:
         """The version of ``layer`` built from ``fingerprint``; written if there is none yet.
 
         Its files are complete before the manifest names them. Readers don't
-        see it before a release names it.
+        see it before a release names it. With ``bucket_by`` the rows are stored by
+        hash and sorted on these columns, in ``buckets`` files (the session's
+        shuffle partitions): whatever groups, deduplicates or joins on them reads
+        them without an exchange.
         """
         for v in reversed(self.versions(layer)):
             if v.fingerprint == fingerprint:
@@ -129,16 +139,32 @@ class VersionStore:
         number = f"{int(self.clock() * 1000):015d}-{uuid.uuid4().hex[:8]}"
         df = build()
         path = f"{self.root}/data/{layer}/{number}"
-        # a partition's rows come together first, else every task would write a file for each
-        writer = (df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df).write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        v = Version(layer, number, fingerprint, self.clock(), df.schema.json(), tuple(partition_by), self.files.sizes(path))
+        n = (buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))) if bucket_by else 0
+        # rows of a partition or bucket come together first, else every task would write a file for each
+        if bucket_by:
+            df = df.repartition(n, *bucket_by)
+            writer = df.write.bucketBy(n, *bucket_by).sortBy(*bucket_by)
+        else:
+            writer = (df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df).write
+        writer = writer.partitionBy(*partition_by) if partition_by else writer
+        if bucket_by:
+            writer.option("path", path).format("parquet").saveAsTable(self._table(layer, number))
+        else:
+            writer.parquet(path)
+        v = Version(layer, number, fingerprint, self.clock(), df.schema.json(), tuple(partition_by), tuple(bucket_by), n, self.files.sizes(path))
         self.files.create(f"{self.root}/manifests/{layer}/{number}.json", json.dumps(asdict(v)))
         return v
 
     def read(self, v: Version) -> DataFrame:
         """A version's rows, columns in the builder's order and of its types."""
         schema = StructType.fromJson(json.loads(v.schema))
+        if v.buckets:
+            # the catalog holds the distribution; an application that hasn't written the version registers its files
+            name, cols = self._table(v.layer, v.version), ", ".join(f"`{c}`" for c in v.bucket_by)
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet "
+                           f"CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {v.buckets} BUCKETS LOCATION '{self.path(v)}'")
+            return self.spark.table(name)
         return self.spark.read.schema(schema).parquet(self.path(v)).select(*[f"`{c}`" for c in schema.names])
 
     def intact(self, v: Version) -> bool:
@@ -215,6 +241,8 @@ class VersionStore:
                     continue
                 if v:
                     self.files.remove(f"{self.root}/manifests/{layer}/{version}.json")
+                    if v.buckets:
+                        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(layer, version)}")
                 self.files.remove(f"{self.root}/data/{layer}/{version}")
                 gone.append((layer, version))
         return gone

@@ -129,6 +129,35 @@ def test_columns_and_types_of_a_partitioned_version(spark, store):
     assert store.read(v).schema == df.schema and sorted(map(tuple, store.read(v).collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_a_bucketed_version_needs_no_exchange(spark, store):
+    df = spark.range(500).select((F.col("id") % 40).alias("k"), (F.col("id") % 7).cast("int").alias("l"), "id")
+    v = store.stage("fact", "a", lambda: df, bucket_by=["k", "l"], buckets=6)
+    spark.sql(f"DROP TABLE {store._table('fact', v.version)}")          # as another application finds it
+    read = store.read(v)
+    grouped = read.groupBy("k", "l").count()
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, df.groupBy("k", "l").count().collect()))
+    assert store.intact(v) and len([f for f in v.files if f.endswith(".parquet")]) <= 6
+
+
+def test_claims_are_deduplicated_and_counted_in_place(spark):
+    """One exchange fewer in both plans than over the same rows stored without buckets."""
+    from ledgerline.operators import multi_version
+    p = ClaimsPipeline(spark, SF_SMALL, fresh=("latest_claims",))
+    flat = ClaimsPipeline(spark, SF_SMALL, fresh=("latest_claims", "bronze_claims"))
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(claim_order")
+
+    def versions(q):
+        return multi_version(q.conformed_claims.select("claim_order", "claim_line", "load_date", "paid"), ["claim_order", "claim_line"], 2)
+
+    assert (exchanges(p.latest_claims), exchanges(flat.latest_claims)) == (0, 1)
+    assert exchanges(versions(p)) < exchanges(versions(flat))
+    assert sorted(map(tuple, p.latest_claims.collect())) == sorted(map(tuple, flat.latest_claims.collect()))
+    assert sorted(map(tuple, versions(p).collect())) == sorted(map(tuple, versions(flat).collect()))
+
+
 def test_retention(spark, store):
     clock = store.clock
     old = store.stage("gold", "a", lambda: rows(spark, 1))

@@ -121,7 +121,8 @@ class VersionStore:
         """Complete versions, oldest first."""
         folder = f"{self.root}/manifests/{layer}"
         found = [json.loads(self.files.read(f"{folder}/{n}")) for n in self.files.names(folder) if not n.startswith(".")]
-        return sorted((Version(**{**v, "partition_by": tuple(v["partition_by"]), "bucket_by": tuple(v["bucket_by"])}) for v in found), key=lambda v: (v.created, v.version))
+        # a manifest of an earlier release of this library may lack later fields
+        return sorted((Version(**{**v, **{c: tuple(v.get(c, ())) for c in ("partition_by", "bucket_by")}}) for v in found), key=lambda v: (v.created, v.version))
 
     def stage(self, layer: str, fingerprint: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (),
               bucket_by: Sequence[str] = (), buckets: int | None = None) -> Version:

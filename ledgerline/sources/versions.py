@@ -135,7 +135,7 @@ class VersionStore:
         them without an exchange.
         """
         for v in reversed(self.versions(layer)):
-            if v.fingerprint == fingerprint:
+            if v.fingerprint == fingerprint and self.intact(v):
                 return v
         number = f"{int(self.clock() * 1000):015d}-{uuid.uuid4().hex[:8]}"
         df = build()

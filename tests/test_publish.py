@@ -123,6 +123,13 @@ def test_equal_fingerprints_are_built_once(spark, store):
     assert len(calls) == 1 and len(store.versions("gold")) == 1
 
 
+def test_a_version_that_lost_files_is_built_again(spark, store):
+    v = store.stage("gold", "a", lambda: rows(spark, 1))
+    shutil.rmtree(store.path(v).removeprefix("file://"))
+    again = store.stage("gold", "a", lambda: rows(spark, 1))
+    assert again != v and values(store.read(again)) == [1] and store.stage("gold", "a", lambda: rows(spark, 9)) == again
+
+
 def test_columns_and_types_of_a_partitioned_version(spark, store):
     df = spark.createDataFrame([(1, 200001, None), (2, 200002, "x")], "k long, month int, v string").withColumn("d", F.lit("2.50").cast("decimal(18,2)"))
     v = store.stage("fact", "a", lambda: df, ["month"])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import BARE_CHUNK
-from ledgerline.llm.tokens import GROUP_CHARS, ChunkTable, pieces_of
+from ledgerline.llm.tokens import GROUP_CHARS, kept_table, pieces_of
 from ledgerline.sources.tables import materialize
 
 CAPACITY = 2048
@@ -57,7 +57,7 @@ def tokenised(path: str, capacity: int, least: int, end_id: int):
     """An Arrow function (doc_id, text) -> pieces, numbered by class within the partition."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, end = ChunkTable(path, BARE_CHUNK, ids=True), struct.pack("<I", end_id)
+        table, end = kept_table(path, BARE_CHUNK, ids=True), struct.pack("<I", end_id)
         part, places = TaskContext.get().partitionId(), {}
 
         def documents():

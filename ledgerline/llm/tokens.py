@@ -21,6 +21,7 @@ import re
 import string
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import BARE_CHUNK, SAFE_CUT, SEPARATORS, SPACED_CHUNK, WORD_ENDS, byte_batches
 
 GROUP_CHARS = 1_000_000      # characters worked through at once
-TABLE_ENTRIES = 1_000_000      # chunks remembered by one Python worker
+TABLE_ENTRIES = 800_000      # chunks remembered by one Python worker
 TABLE_CHUNK = 64             # longer chunks are not remembered
 ENCODE_BYTES = 200_000       # UTF-8 bytes in one call of the tokenizer
 JOINED_CHUNKS = 2000         # chunks without white space that are encoded as one text
@@ -132,6 +133,12 @@ class ChunkTable:
             del self.known[c]
 
 
+@lru_cache(maxsize=2)
+def kept_table(path: str, pattern: re.Pattern, ids: bool) -> ChunkTable:
+    """The table of this worker process: its next task goes on with what the last one learnt."""
+    return ChunkTable(path, pattern, ids)
+
+
 def inner_chunks(normalizer) -> re.Pattern:
     """Pieces of a run without white space: a word that a sign follows, or the rest.
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import minhash, mixing, packing, quality, tokens
+from ledgerline.llm.sets import held
 from ledgerline.session import checkpoint_dir
 from ledgerline.sources.tables import materialize, read_table
 
@@ -36,13 +37,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without words are linked with nothing and stay.
     """
     found = minhash.near_duplicates(docs, percent=NEAR_PERCENT, bands=minhash.BANDS_80).select("doc_id", "kept")
-    found = materialize(found, "near-dedup")
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    left = docs.join(dropped, "doc_id", "left_anti")
+    found = materialize(found, "near-dedup").where("doc_id IS NOT NULL")
+    # ids that go or come more than once: few beside the documents, whose texts stay where they are
+    marked = materialize(found.groupBy("doc_id").agg(F.bool_or(~F.col("kept")).alias("goes"), F.count("*").alias("n"))
+                         .where("goes OR n > 1"), "marked")
+    repeated = materialize(marked.where("NOT goes").select("doc_id"), "repeated")
+    left = docs.join(held(marked.select("doc_id")), "doc_id", "left_anti")
     # only rows of repeated ids are compared with each other
-    once = left.join(repeated, "doc_id", "left_anti").unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates())
-    return once.select(*docs.columns)
+    if repeated.take(1):
+        left = left.unionByName(docs.join(held(repeated), "doc_id", "left_semi").dropDuplicates())
+    return left.select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

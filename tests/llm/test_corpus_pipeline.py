@@ -104,3 +104,20 @@ def test_odd_and_empty_documents(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).where("length < 1 OR length > 2048 OR offset + length > 2048").count() == 0
+
+
+def test_texts_stay_where_they_are_after_near_dedup(spark):
+    """Ids that go or come twice are broadcast behind their count: no join shuffles the documents' texts."""
+    rows = [(i, f"some words of their own number {i} and {i * 7} end", "en", "a", 1) for i in range(40)]
+    rows += [(100 + i, rows[i][1], "en", "a", 1) for i in range(10)] + [rows[20], rows[21], (21, "another text of a known id here", "en", "a", 1), (None, "x y", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        left = corpus_pipeline.near_dedup(spark, docs, SF)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        found = Counter(tuple(r) for r in left.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert found == Counter({r: 1 for r in rows if r[0] is None or r[0] < 100})

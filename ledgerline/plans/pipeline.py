@@ -79,12 +79,15 @@ LAYER_TABLES = frozenset({
     "landing_facility", "landing_provider", "landing_audit", "landing_member", "landing_procedure",
     "landing_claims", "bronze_facility", "bronze_provider", "bronze_audit", "bronze_member", "bronze_procedure",
     "bronze_claims", "facility_clean", "provider_clean", "dim_provider", "dim_member", "dim_procedure",
-    "latest_claims", "claims_checked", "intervals", "gold",
+    "claims_checked", "intervals", "gold",
 })
 # Facts that the period filters of W26-W31 read: a folder per month, so other months are not opened.
 PARTITIONED = {"claims_checked": ("month",), "gold": ("month",)}
 # The claims by their key: versions are counted, deduplicated and compared on it without an exchange.
-BUCKETED = {"bronze_claims": tuple(CLAIM_KEY)}
+# Landing deals its rows by the key once; bronze copies them file by file.
+# The latest claims are a scan of bronze in place, so they are not stored once more.
+BUCKETED = {"landing_claims": tuple(CLAIM_KEY), "bronze_claims": tuple(CLAIM_KEY)}
+DEALT = frozenset(BUCKETED)
 PIN_SECONDS = 24 * 3600.0       # how long a pipeline keeps the versions that it reads
 _STAGED: dict[tuple[str, str, str], Version] = {}
 
@@ -161,7 +164,7 @@ class ClaimsPipeline:
         """The version of a layer for this input, built if there is none; pinned for this application."""
         key = (self.store.root, name, self._layer_key(name))
         if key not in _STAGED:
-            _STAGED[key] = self.store.stage(name, key[2], build, PARTITIONED.get(name, ()), BUCKETED.get(name, ()))
+            _STAGED[key] = self.store.stage(name, key[2], build, PARTITIONED.get(name, ()), BUCKETED.get(name, ()), dealt=name in DEALT)
             self.store.pin([_STAGED[key]], PIN_SECONDS)
         return _STAGED[key]
 
@@ -169,10 +172,14 @@ class ClaimsPipeline:
         """Remove versions of other inputs or code that nobody holds and that are older than ``grace`` seconds."""
         return self.store.sweep(grace, keep=lambda v: v.fingerprint == self._layer_key(v.layer))
 
+    def _stores(self, name: str) -> bool:
+        return self.reuse_layers and name in self.layers and name not in self.fresh
+
     def _get(self, name: str, build):
         if name not in self._overrides:
-            if self.reuse_layers and name in self.layers and name not in self.fresh:
-                self._overrides[name] = self.store.read(self.staged(name, build))
+            if self._stores(name):
+                # landing is read as plain files: queries on it are dealt by what they group by
+                self._overrides[name] = self.store.read(self.staged(name, build), by_bucket=name != "landing_claims")
             else:
                 self._overrides[name] = build()
         return self._overrides[name]
@@ -208,13 +215,24 @@ class ClaimsPipeline:
 
     @property
     def landing_claims(self) -> DataFrame:
-        return self._get("landing_claims", lambda: cm.landing_claims(
-            self.table("lineitem"), self.table("orders"), self.table("supplier")))
+        return self._get("landing_claims", self._landed)
+
+    def _landed(self) -> DataFrame:
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions")) if self._stores("landing_claims") else None
+        return cm.landing_claims(self.table("lineitem"), self.table("orders"), self.table("supplier"), parts)
 
     # -------------------------------------------------------------- bronze
     def bronze(self, name: str) -> DataFrame:
         """The stored faithful copy of a landing table; silver reads this one."""
-        return self._get(f"bronze_{name}", lambda: ingest_bronze(getattr(self, f"landing_{name}")))
+        return self._get(f"bronze_{name}", lambda: ingest_bronze(
+            self._claims_by_key() if name == "claims" and self._stores("bronze_claims") else getattr(self, f"landing_{name}")))
+
+    def _claims_by_key(self) -> DataFrame:
+        """Landing claims dealt by their key, for the bronze layer: file by file if landing is stored so, else by an exchange."""
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if self._stores("landing_claims") and self.staged("landing_claims", self._landed).buckets == parts:
+            return self.landing_claims
+        return self.landing_claims.repartition(parts, *CLAIM_KEY)
 
     # -------------------------------------------------------------- silver
     @property

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
 
+# Stored tables: about a third smaller than with Spark's default codec, read by every Parquet reader.
+STORED = {"compression": "zstd"}
+
 
 def read_table(spark: SparkSession, base_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
@@ -31,7 +34,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     ``partition_by`` (e.g. the month column of a fact) enables partition
     pruning for later readers.
     """
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = df.write.mode("overwrite").format(fmt).options(**(STORED if fmt == "parquet" else {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -45,6 +48,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fm
     a partition gets files of the advised size, not one per task.
     """
     (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").format(fmt)
+     .options(**(STORED if fmt == "parquet" else {}))
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
 
 
@@ -59,5 +63,5 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, "tables", f"{name or 'table'}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**STORED).parquet(path)
     return spark.read.parquet(path)

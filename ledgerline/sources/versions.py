@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerline.sources.tables import STORED
+
 
 class Conflict(RuntimeError):
     """Another publisher took the release number first."""
@@ -125,14 +127,15 @@ class VersionStore:
         return sorted((Version(**{**v, **{c: tuple(v.get(c, ())) for c in ("partition_by", "bucket_by")}}) for v in found), key=lambda v: (v.created, v.version))
 
     def stage(self, layer: str, fingerprint: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (),
-              bucket_by: Sequence[str] = (), buckets: int | None = None) -> Version:
+              bucket_by: Sequence[str] = (), buckets: int | None = None, dealt: bool = False) -> Version:
         """The version of ``layer`` built from ``fingerprint``; written if there is none yet.
 
         Its files are complete before the manifest names them. Readers don't
         see it before a release names it. With ``bucket_by`` the rows are stored by
         hash and sorted on these columns, in ``buckets`` files (the session's
         shuffle partitions): whatever groups, deduplicates or joins on them reads
-        them without an exchange.
+        them without an exchange. ``dealt`` says that ``build`` gives its rows in
+        that many partitions by hash of these columns: they are not dealt again.
         """
         for v in reversed(self.versions(layer)):
             if v.fingerprint == fingerprint and self.intact(v):
@@ -143,11 +146,11 @@ class VersionStore:
         n = (buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))) if bucket_by else 0
         # rows of a partition or bucket come together first, else every task would write a file for each
         if bucket_by:
-            df = df.repartition(n, *bucket_by)
+            df = df if dealt else df.repartition(n, *bucket_by)
             writer = df.write.bucketBy(n, *bucket_by).sortBy(*bucket_by)
         else:
             writer = (df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df).write
-        writer = writer.partitionBy(*partition_by) if partition_by else writer
+        writer = (writer.partitionBy(*partition_by) if partition_by else writer).options(**STORED)
         if bucket_by:
             writer.option("path", path).format("parquet").saveAsTable(self._table(layer, number))
         else:
@@ -156,10 +159,10 @@ class VersionStore:
         self.files.create(f"{self.root}/manifests/{layer}/{number}.json", json.dumps(asdict(v)))
         return v
 
-    def read(self, v: Version) -> DataFrame:
-        """A version's rows, columns in the builder's order and of its types."""
+    def read(self, v: Version, by_bucket: bool = True) -> DataFrame:
+        """A version's rows, columns in the builder's order and of its types; without ``by_bucket`` as plain files."""
         schema = StructType.fromJson(json.loads(v.schema))
-        if v.buckets:
+        if v.buckets and by_bucket:
             # the catalog holds the distribution; an application that hasn't written the version registers its files
             name, cols = self._table(v.layer, v.version), ", ".join(f"`{c}`" for c in v.bucket_by)
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

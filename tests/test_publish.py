@@ -165,6 +165,36 @@ def test_claims_are_deduplicated_and_counted_in_place(spark):
     assert sorted(map(tuple, versions(p).collect())) == sorted(map(tuple, versions(flat).collect()))
 
 
+def test_claims_are_dealt_by_key_once(spark, tmp_path):
+    """The lines move by claim key as source columns; bronze copies landing file by file and nothing stores the latest claims."""
+    import glob
+    folder = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, folder)
+    p = ClaimsPipeline(spark, f"file://{folder}")
+    bronze = p.bronze("claims")
+    copied = p._claims_by_key()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in copied
+    dealt = p._landed()._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in dealt and dealt.index("AS auth_no") < dealt.index("RepartitionByExpression")
+    flat = ClaimsPipeline(spark, f"file://{folder}", reuse_layers=False)
+    assert sorted(map(str, bronze.drop("_ingested_at").collect())) == sorted(map(str, flat.landing_claims.collect()))
+    assert p.claims_checked.count() > 0 and "latest_claims" not in p.store.files.names(f"{p.store.root}/data")
+    stored = glob.glob(f"{p.store.path(p.staged('bronze_claims', None)).removeprefix('file:')}/*.parquet")
+    buckets = [f.rsplit("_", 1)[1].split(".")[0] for f in stored]
+    assert len(buckets) == len(set(buckets)) and pq.ParquetFile(stored[0]).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_a_builder_that_dealt_its_rows_is_not_dealt_again(spark, store):
+    df = spark.range(500).select((F.col("id") % 40).alias("k"), "id")
+    v = store.stage("fact", "a", lambda: df.repartition(6, "k"), bucket_by=["k"], buckets=6, dealt=True)
+    files = [f for f in v.files if f.endswith(".parquet")]
+    assert len(files) <= 6 and sorted(map(tuple, store.read(v).collect())) == sorted(map(tuple, df.collect()))
+    grouped = store.read(v).groupBy("k").count()
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString() and grouped.count() == 40
+    plain = store.read(v, by_bucket=False).groupBy("k").count()
+    assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString() and plain.count() == 40
+
+
 def test_retention(spark, store):
     clock = store.clock
     old = store.stage("gold", "a", lambda: rows(spark, 1))

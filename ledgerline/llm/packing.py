@@ -38,6 +38,7 @@ from ledgerline.sources.tables import materialize
 CAPACITY = 2048
 LEAST = 64
 END_ID = 1
+HELD_CHARS = 8_000_000       # characters whose chunks are looked up at once
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
 
 
@@ -70,7 +71,7 @@ def tokenised(path: str, capacity: int, least: int, end_id: int):
             held, owners, size = [], [], 0
             for doc_id, text in documents():
                 for piece in pieces_of(text, GROUP_CHARS):
-                    if held and size + len(piece) > GROUP_CHARS:
+                    if held and size + len(piece) > HELD_CHARS:
                         yield from zip(owners, table.parts(held))
                         held, owners, size = [], [], 0
                     held.append(piece)

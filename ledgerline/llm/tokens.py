@@ -8,6 +8,9 @@ the count of the whole text. Texts are worked through in groups of a bounded
 number of bytes, whatever the rows; chunks seen before are counted from a
 bounded table, and only new ones go to the tokenizer, in batches of their own.
 
+For token ids a group of texts is cut at white space, its chunks are told apart
+and the ids are put together by Arrow, so Python meets each chunk once a group.
+
 Defined results: NULL and empty texts have 0 bytes and 0 tokens; a text
 without white space is one chunk; repeated rows are counted each; an empty
 table gives an empty result; extra columns pass through unless their name is
@@ -24,6 +27,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +53,11 @@ class ChunkTable:
     ``ids=True`` keeps little-endian unsigned 32-bit ids as bytes. The tables are
     emptied when they are full, so their memory is bounded whatever the texts hold.
     Chunks without white space are cut once more, behind a letter and before a
-    sign that ends a word, when they are first met; what comes of that is encoded
-    many at a time with a mark between, where the tokenizer keeps the mark to
-    itself. Texts are lower-cased (A-Z) before they are cut, where the tokenizer
-    would do so and no special string comes of it, so that fewer chunks differ.
+    sign that ends a word. Words of plain letters are encoded many at a time, and
+    the ids that end a word tell them apart; other pieces have a mark between,
+    where the tokenizer keeps the mark to itself. Texts are lower-cased (A-Z) before
+    they are cut, where the tokenizer would do so and no special string comes of it,
+    so that fewer chunks differ.
     """
 
     def __init__(self, path: str, pattern: re.Pattern, ids: bool):
@@ -64,7 +70,8 @@ class ChunkTable:
         self.folds = normal is not None and normal.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
         alone, apart = self._ids(MARK), self._ids(f"a {MARK} b")
         self.mark = alone[0] if pattern is BARE_CHUNK and apart == self._ids("a") + alone + self._ids("b") and len(alone) == 1 else None
-        self.inner = inner_chunks(normal) if pattern is BARE_CHUNK else None
+        self.inner = inner_chunks(normal) if ids and pattern is BARE_CHUNK else None
+        self.plain, self.ends = plain_words(normal), self._word_ends()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -75,10 +82,26 @@ class ChunkTable:
         lower = text.encode().lower().decode()
         return text if any(s in lower for s in self.special) else lower
 
-    def _cut(self, text: str) -> list[str]:
-        if self.inner is not None and not SEPARATORS.search(text):
-            return text.split()
-        return self.pattern.findall(text)
+    def _word_ends(self):
+        """Whether an id is the last of a word, for every id; None if the tokenizer doesn't tell."""
+        import numpy as np
+        if not (suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None)):
+            return None
+        vocab = self.tokenizer.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return ends
+
+    def _cut(self, texts: list[str]) -> pa.ListArray:
+        """What lies between white space, in every text."""
+        column = pa.array(texts, pa.string())
+        if self.folds:
+            column = pc.ascii_lower(column)
+            if any(pc.any(pc.match_substring(column, s)).as_py() for s in self.special):
+                column = pa.array(map(self._folded, texts), pa.string())
+        if pc.any(pc.match_substring_regex(column, SEPARATORS.pattern)).as_py():
+            return pa.array(map(self.pattern.findall, column.to_pylist()), pa.list_(pa.string()))
+        return pc.utf8_split_whitespace(column)
 
     def _learn(self, chunks: list[str], into: dict) -> None:
         import numpy as np
@@ -101,30 +124,67 @@ class ChunkTable:
             else:
                 into.update(zip(group, map(len, done)))
 
-    def _learn_words(self, chunks: list[str]) -> None:
-        """Chunks between white space, from the ids of the words and signs in them."""
-        if not self.ids or any(s in c for c in chunks if "<" in c for s in self.special):
-            return self._learn(chunks, self.known)
-        cut = [self.inner.findall(c) for c in chunks]
-        if len(self.words) > TABLE_ENTRIES // 2:
-            self.words = {}
-        self._learn(list(set().union(*cut).difference(self.words)), self.words)
-        get = self.words.__getitem__
-        self.known.update((c, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for c, p in zip(chunks, cut))
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of plain letters: each is one pre-token, so its last id is the only one that ends a word."""
+        import numpy as np
+        if self.ends is None:
+            return self._learn(words, self.words)
+        for start in range(0, len(words), JOINED_CHUNKS):
+            group = words[start:start + JOINED_CHUNKS]
+            found = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            ends, packed = (4 * np.flatnonzero(self.ends[found]) + 4).tolist(), found.tobytes()
+            if len(ends) == len(group):
+                self.words.update((w, packed[a:b]) for w, a, b in zip(group, [0, *ends], ends))
+            else:
+                self._learn(group, self.words)
+
+    def _found(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without white space: of a plain word and the signs behind it, or of the pieces that ``inner`` cuts."""
+        if len(self.words) + len(self.known) > TABLE_ENTRIES:
+            self.words, self.known = {}, {}
+        stems = [c.rstrip(WORD_ENDS) for c in chunks]
+        out = list(map(self.words.get, stems))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        new = list(filter(self.plain.fullmatch, {stems[i] for i in missing}))
+        self._learn_words(new)
+        cut = {}
+        for i in missing:
+            out[i] = self.words.get(stems[i])
+            if out[i] is None:
+                c, out[i], stems[i] = chunks[i], b"", chunks[i]
+                cut[i] = [c] if "<" in c and any(s in c for s in self.special) else self.inner.findall(c)
+        signs = [c[len(w):] for c, w in zip(chunks, stems) if len(c) > len(w)]
+        pieces = set(signs).union(*cut.values()).difference(self.known)
+        self._learn(list(pieces), self.known)
+        get, behind = self.known.__getitem__, map(self.known.__getitem__, signs)
+        out = [ids + next(behind) if len(c) > len(w) else ids for c, w, ids in zip(chunks, stems, out)]
+        for i, parts in cut.items():
+            out[i] = b"".join(map(get, parts))
+        for table, added in ((self.words, new), (self.known, pieces)):
+            for c in added:
+                if len(c) > TABLE_CHUNK:
+                    del table[c]
+        return out
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        """Per text its ids: every chunk is looked up once, and Arrow puts the ids together."""
+        cut = self._cut(texts)
+        chunks = cut.flatten().dictionary_encode()
+        found = pa.array(self._found(chunks.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary())
+        return pc.binary_join(pa.ListArray.from_arrays(cut.offsets, found.take(chunks.indices)), b"").to_pylist()
 
     def parts(self, texts: list[str]) -> Iterator[list]:
-        """Per text the counts (or id bytes) of its chunks, in order."""
-        cut = [self._cut(self._folded(t)) for t in texts]
+        """Per text the counts of its chunks, in order, or their id bytes (in one where white space cuts)."""
+        if self.inner is not None:
+            yield from ([packed] for packed in self._joined(texts))
+            return
+        cut = [self.pattern.findall(self._folded(t)) for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > TABLE_ENTRIES:
             self.known = {}
             new = set().union(*cut)
         long = [c for c in new if len(c) > TABLE_CHUNK]
-        short = [c for c in new if len(c) <= TABLE_CHUNK]
-        if self.inner is not None:
-            self._learn_words(short)
-        else:
-            self._learn(short, self.known)
+        self._learn([c for c in new if len(c) <= TABLE_CHUNK], self.known)
         self._learn(long, self.known)
         get = self.known.__getitem__
         for chunks in cut:
@@ -153,6 +213,13 @@ def inner_chunks(normalizer) -> re.Pattern:
     return re.compile(rf"[^\W\d_]*[^\W\d_{re.escape(unsafe)}](?=[{re.escape(WORD_ENDS)}])|.+", re.S)
 
 
+def plain_words(normalizer) -> re.Pattern:
+    """Words of a-z and those Latin letters that normalisation leaves as they are."""
+    letters = [c for c in map(chr, range(0x80, 0x250)) if c.isalpha()]
+    kept = [c for c in letters if normalizer is None or normalizer.normalize_str(c) == c]
+    return re.compile(f"[a-z{''.join(kept)}]+")
+
+
 def pieces_of(text: str, limit: int) -> Iterator[str]:
     """Cut a long text at safe boundaries into pieces of about ``limit`` characters."""
     start = 0

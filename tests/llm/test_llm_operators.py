@@ -551,6 +551,38 @@ def test_connected_components(spark):
 
 # --- 9 packing -----------------------------------------------------------------
 
+def test_each_word_is_encoded_once(monkeypatch):
+    """Plain words go to the tokenizer once, whatever signs follow, without marks between; ids are those of whole texts."""
+    path = tokens.tokenizer_path("word_bpe_49k.json")
+    table, whole = tokens.ChunkTable(path, common.BARE_CHUNK, True), tokenizer_once("word_bpe_49k.json")
+
+    class Counting:
+        made = 0
+
+        def __getattr__(self, name):
+            return getattr(whole, name)
+
+        def encode_batch_fast(self, *args, **kinds):
+            found = whole.encode_batch_fast(*args, **kinds)
+            Counting.made += sum(len(e.ids) for e in found)
+            return found
+
+    monkeypatch.setattr(table, "tokenizer", Counting())
+    words = [f"w{chr(97 + i)}thond{chr(97 + j)}\u00e9" for i in range(20) for j in range(20)]
+    texts = [" ".join(w + sign for w in words[k::3]) for k, sign in enumerate(["", ",", "."])] + [" ".join(words).upper()]
+    texts += [".\n ".join(words[:50]) + "!? ", " <|endoftext|>, It's x" + "y" * 200 + ". \x1c\u00c9t\u00e9, 12,5 \u0130.", ""]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    distinct = sum(len(whole.encode(w, add_special_tokens=False).ids) for w in words)
+    ids = [np.frombuffer(b"".join(p), "<u4").tolist() for p in table.parts(texts[:3])]
+    assert ids == want[:3] and Counting.made <= distinct + 10
+    for entries in (tokens.TABLE_ENTRIES, 5):
+        monkeypatch.setattr(tokens, "TABLE_ENTRIES", entries)
+        for group in (texts, texts[3:], texts[:1], []):
+            found = [np.frombuffer(b"".join(p), "<u4").tolist() for p in table.parts(group)]
+            assert found == [want[texts.index(t)] for t in group]
+            assert all(len(c) <= tokens.TABLE_CHUNK for c in [*table.words, *table.known])
+
+
 def test_cut_and_shared_bins():
     for n in (1, 63, 64, 100, 2047, 2048, 2049, 10_000):
         lengths = packing.cut(n)

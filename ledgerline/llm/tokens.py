@@ -32,13 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BARE_CHUNK, SAFE_CUT, SEPARATORS, SPACED_CHUNK, WORD_ENDS, byte_batches
+from ledgerline.llm.common import BARE_CHUNK, SAFE_CUT, SEPARATORS, SPACED_CHUNK, UNICODE_SPACE, WORD_ENDS, byte_batches
 
 GROUP_CHARS = 1_000_000      # characters worked through at once
 TABLE_ENTRIES = 800_000      # chunks remembered by one Python worker
 TABLE_CHUNK = 64             # longer chunks are not remembered
 ENCODE_BYTES = 200_000       # UTF-8 bytes in one call of the tokenizer
 JOINED_CHUNKS = 2000         # chunks without white space that are encoded as one text
+WIDE_SPACE = UNICODE_SPACE.replace("\t-\r ", "[") + "]"   # white space beyond ASCII
 MARK = "\x01"                # stands between them, if the tokenizer gives it an id of its own
 
 
@@ -72,6 +73,9 @@ class ChunkTable:
         self.mark = alone[0] if pattern is BARE_CHUNK and apart == self._ids("a") + alone + self._ids("b") and len(alone) == 1 else None
         self.inner = inner_chunks(normal) if ids and pattern is BARE_CHUNK else None
         self.plain, self.ends = plain_words(normal), self._word_ends()
+        self.bare = Tokenizer.from_file(path) if self.inner is not None and self.ends is not None else self.tokenizer
+        if self.bare is not self.tokenizer:
+            self.bare.normalizer = None  # it leaves plain words as they are
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -97,11 +101,11 @@ class ChunkTable:
         column = pa.array(texts, pa.string())
         if self.folds:
             column = pc.ascii_lower(column)
-            if any(pc.any(pc.match_substring(column, s)).as_py() for s in self.special):
+            if self.special and holds(column, "|".join(map(re.escape, self.special))):
                 column = pa.array(map(self._folded, texts), pa.string())
-        if pc.any(pc.match_substring_regex(column, SEPARATORS.pattern)).as_py():
+        if holds(column, SEPARATORS.pattern):
             return pa.array(map(self.pattern.findall, column.to_pylist()), pa.list_(pa.string()))
-        return pc.utf8_split_whitespace(column)
+        return pc.utf8_split_whitespace(column) if holds(column, WIDE_SPACE) else pc.ascii_split_whitespace(column)
 
     def _learn(self, chunks: list[str], into: dict) -> None:
         import numpy as np
@@ -131,7 +135,7 @@ class ChunkTable:
             return self._learn(words, self.words)
         for start in range(0, len(words), JOINED_CHUNKS):
             group = words[start:start + JOINED_CHUNKS]
-            found = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            found = np.array(self.bare.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
             ends, packed = (4 * np.flatnonzero(self.ends[found]) + 4).tolist(), found.tobytes()
             if len(ends) == len(group):
                 self.words.update((w, packed[a:b]) for w, a, b in zip(group, [0, *ends], ends))
@@ -213,6 +217,10 @@ def inner_chunks(normalizer) -> re.Pattern:
     return re.compile(rf"[^\W\d_]*[^\W\d_{re.escape(unsafe)}](?=[{re.escape(WORD_ENDS)}])|.+", re.S)
 
 
+def holds(column: pa.Array, pattern: str) -> bool:
+    return bool(pc.any(pc.match_substring_regex(column, pattern)).as_py())
+
+
 def plain_words(normalizer) -> re.Pattern:
     """Words of a-z and those Latin letters that normalisation leaves as they are."""
     letters = [c for c in map(chr, range(0x80, 0x250)) if c.isalpha()]
